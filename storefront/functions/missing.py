@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def present(column: Column) -> Column:
     """The floating-point value, or NULL when it is NaN."""
-    return F.when(~F.isnan(column), column)
+    return F.nullif(column, F.lit(float("nan")))
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,7 +24,8 @@ def parse_currency(column: Column | str, strict: bool = True, marks: str = CURRE
     text ``nan`` means a missing price.
     """
     c = F.col(column) if isinstance(column, str) else column
-    bare = F.btrim(F.translate(c.cast("string"), marks, ""), F.lit(_BLANKS))
+    unmarked = reduce(lambda text, mark: F.replace(text, F.lit(mark)), marks, c.cast("string"))
+    bare = F.btrim(unmarked, F.lit(_BLANKS))
     return present(bare.cast("double") if strict else bare.try_cast("double"))
 
 

@@ -8,7 +8,7 @@ broadcast and the large table is scanned for its key columns without a shuffle.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from storefront.operators import quality
 from storefront.schemas import TableRules
-from storefront.session import cut_lineage
+from storefront.session import cut_lineage, land
 
 
 def with_defaults(batch: DataFrame, like: DataFrame, defaults: Mapping[str, str]) -> DataFrame:
@@ -165,10 +165,15 @@ def apply_batch(
     """The next state of all tables: the whole batch applied, or nothing of it.
 
     The verdict is a single row that every table of the next state reads as a scalar
-    subquery. ``durable`` writes it to the checkpoint folder once, so that tables
-    written one after the other cannot see different verdicts.
+    subquery. ``durable`` writes the batch and its verdict to the shared folder once, so
+    that tables written one after the other cannot see different rows or verdicts, and
+    the many checks do not compute the batch again.
     """
     complete = {n: with_defaults(rows, existing[n], rules[n].defaults) for n, rows in batch.items()}
+    if durable:
+        complete = {n: land(rows, f"batch-{n}") for n, rows in complete.items()}
+        if stock is not None:
+            stock = replace(stock, changes=land(stock.changes, "batch-stock"))
     violations = batch_violations(existing, complete, rules, stock)
     verdict = violations.agg(
         (F.count("*") == 0).alias("accepted"), F.count("*").alias("n_violations")

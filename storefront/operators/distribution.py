@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 QUARTILES = {"q25": 0.25, "q50": 0.50, "q75": 0.75}
 
 _CELLS_PER_OCTAVE = 64
-_CELLS_PER_CELL = 4096
+_PARTS_PER_CELL = 65536
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -43,13 +43,9 @@ def _names(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.sparkSession.range(1).select(names.alias("column_name"))
 
 
-def _ranks(probabilities: Mapping[str, float]) -> list[tuple[str, float, Column, Column]]:
-    """Per quantile: its name, weight basis and the two ranks (from 0) it lies between."""
-    out = []
-    for name, p in probabilities.items():
-        position = F.lit(float(p)) * (F.col("total") - 1)
-        out.append((name, position, F.floor(position), F.ceil(position)))
-    return out
+def _positions(probabilities: Mapping[str, float]) -> dict[str, str]:
+    """Where each quantile lies among the ranks 0 to total - 1, as SQL."""
+    return {name: f"(CAST({float(p)!r} AS DOUBLE) * (total - 1))" for name, p in probabilities.items()}
 
 
 def _holding_a_rank(
@@ -63,14 +59,12 @@ def _holding_a_rank(
     so_far = Window.partitionBy(*within).orderBy(order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    placed = counted.withColumn("last", F.col("before") + F.sum("n").over(so_far)).withColumn(
-        "first", F.col("last") - F.col("n")
+    ranks = ", ".join(f"floor({at}), ceil({at})" for at in _positions(probabilities).values())
+    return (
+        counted.withColumn("last", F.col("before") + F.sum("n").over(so_far))
+        .withColumn("first", F.expr("last - n"))
+        .where(f"exists(array({ranks}), r -> r >= first AND r < last)")
     )
-    wanted = F.lit(False)
-    for _, _, low, high in _ranks(probabilities):
-        for rank in (low, high):
-            wanted = wanted | ((rank >= F.col("first")) & (rank < F.col("last")))
-    return placed.where(wanted)
 
 
 def quantiles(frequencies: DataFrame, probabilities: Mapping[str, float] = QUARTILES) -> DataFrame:
@@ -81,13 +75,15 @@ def quantiles(frequencies: DataFrame, probabilities: Mapping[str, float] = QUART
     each cell that holds a wanted rank into equal parts; what is left are the distinct
     values of at most two parts per quantile.
     """
-    magnitude = F.signum("value") * F.log2(F.lit(1.0) + F.abs("value"))
-    placed = frequencies.withColumn("cell", F.floor(magnitude * _CELLS_PER_OCTAVE))
-    counts = [F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")]
-
+    # The coalesce keeps join keys free of NULL tests: such a test would be pushed below
+    # the count, and the branches could no longer share its exchange.
+    magnitude = "signum(value) * log2(1 + abs(value))"
+    placed = frequencies.withColumn(
+        "cell", F.expr(f"coalesce(floor({magnitude} * {_CELLS_PER_OCTAVE}), 0L)")
+    )
     cells = (
         placed.groupBy("column_name", "cell")
-        .agg(*counts)
+        .agg(F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
         .withColumn("total", F.sum("n").over(Window.partitionBy("column_name")))
         .withColumn("before", F.lit(0).cast("bigint"))
     )
@@ -95,10 +91,9 @@ def quantiles(frequencies: DataFrame, probabilities: Mapping[str, float] = QUART
         "column_name", "cell", "low", "high", "total", F.col("first").alias("before")
     )
 
-    share = (F.col("value") - F.col("low")) / F.nullif(F.col("high") - F.col("low"), F.lit(0.0))
-    part = F.floor(F.coalesce(share, F.lit(0.0)) * _CELLS_PER_CELL)
+    part = f"coalesce(floor((value - low) / nullif(high - low, 0D) * {_PARTS_PER_CELL}), 0L)"
     # At most two cells per quantile and column: the broadcast cannot grow with the data.
-    inside = placed.join(F.broadcast(coarse), ["column_name", "cell"]).withColumn("part", part)
+    inside = placed.join(F.broadcast(coarse), ["column_name", "cell"]).withColumn("part", F.expr(part))
     parts = inside.groupBy("column_name", "cell", "part", "total", "before").agg(F.sum("n").alias("n"))
     fine = _holding_a_rank(parts, ["column_name", "cell"], "part", probabilities).select(
         "column_name", "cell", "part", F.col("first").alias("before")
@@ -107,19 +102,15 @@ def quantiles(frequencies: DataFrame, probabilities: Mapping[str, float] = QUART
     values = inside.drop("before").join(F.broadcast(fine), ["column_name", "cell", "part"])
     found = _holding_a_rank(values, ["column_name", "cell", "part"], "value", probabilities)
 
-    def value_at(rank: Column) -> Column:
-        return F.max(F.when((rank >= F.col("first")) & (rank < F.col("last")), F.col("value")))
+    def value_at(rank: str) -> str:
+        return f"max(CASE WHEN {rank} >= first AND {rank} < last THEN value END)"
 
     picked = []
-    for name, position, low, high in _ranks(probabilities):
-        picked.append(value_at(low).alias(f"{name}_low"))
-        picked.append(value_at(high).alias(f"{name}_high"))
-        picked.append(F.max(position - low).alias(f"{name}_share"))
-    between = [
-        (F.col(f"{q}_low") + (F.col(f"{q}_high") - F.col(f"{q}_low")) * F.col(f"{q}_share")).alias(q)
-        for q in probabilities
-    ]
-    return found.groupBy("column_name").agg(*picked).select("column_name", *between)
+    for name, at in _positions(probabilities).items():
+        low, high = value_at(f"floor({at})"), value_at(f"ceil({at})")
+        share = f"max({at} - floor({at}))"
+        picked.append(F.expr(f"{low} + ({high} - {low}) * {share}").alias(name))
+    return found.groupBy("column_name").agg(*picked)
 
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

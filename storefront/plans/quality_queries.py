@@ -11,6 +11,7 @@ from storefront.operators import changes, joins, quality
 from storefront.plans.registry import query
 from storefront.plans.shop_queries import RECENT
 from storefront.schemas import ForeignKey, TableRules
+from storefront.session import land
 from storefront.sources.tables import load
 
 CUSTOMER = TableRules(
@@ -191,35 +192,39 @@ def stock_update(spark, folder):
     return changes.subtract_stock(_stocked_parts(spark, folder), sold, "p_partkey", "stock")
 
 
-def _recent_batch(spark, folder, merge_lines: bool) -> changes.BatchResult:
-    """Recent orders with their lines and stock changes, as a batch on top of the older ones.
+def _recent_batch(spark, folder, merge_lines: bool):
+    """Recent orders, recently shipped lines and their stock changes, on top of the older ones.
 
     Merged, each line key occurs once and the batch keeps all rules; as is, line keys repeat.
     """
     old_orders, new_orders = _by_age(spark, folder)
     lines = load(spark, folder, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("bigint").alias("l_quantity"), "l_discount"
+        "l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("bigint").alias("l_quantity"),
+        "l_discount", "l_shipdate",
     )
     if merge_lines:
-        lines = lines.groupBy("l_orderkey", "l_linenumber").agg(
-            F.min("l_partkey").alias("l_partkey"),
+        merged = lines.groupBy("l_orderkey", "l_linenumber").agg(
             F.sum("l_quantity").alias("l_quantity"),
-            F.min("l_discount").alias("l_discount"),
+            *[F.min(c).alias(c) for c in ("l_partkey", "l_discount", "l_shipdate")],
         )
-    new_keys = new_orders.select(F.col("o_orderkey").alias("l_orderkey"))
-    old_keys = old_orders.select(F.col("o_orderkey").alias("l_orderkey"))
-    new_lines = lines.join(new_keys, "l_orderkey", "left_semi")
-    old_lines = lines.join(old_keys, "l_orderkey", "left_semi")
+        # Old and new lines are both read from this table, more than once.
+        lines = land(merged, "merged-lines")
+    recent = F.col("l_shipdate") >= F.lit(RECENT)
+    new_lines = lines.where(recent)
     taken = new_lines.select(F.col("l_partkey").alias("p_partkey"), F.col("l_quantity").alias("quantity"))
     existing = {
         "customer": load(spark, folder, "customer"),
         "part": _stocked_parts(spark, folder),
         "orders": old_orders,
-        "lineitem": old_lines,
+        "lineitem": lines.where(~recent),
     }
     batch = {"orders": new_orders, "lineitem": new_lines}
     update = changes.StockUpdate("part", taken, "p_partkey", "stock", "quantity")
-    return changes.apply_batch(existing, batch, STOCKED, update)
+    return existing, batch, STOCKED, update
+
+
+def _applied(spark, folder, merge_lines: bool) -> changes.BatchResult:
+    return changes.apply_batch(*_recent_batch(spark, folder, merge_lines))
 
 
 def _state_summary(result: changes.BatchResult) -> DataFrame:
@@ -236,11 +241,11 @@ def _state_summary(result: changes.BatchResult) -> DataFrame:
 
 
 _LINES_SQL = """WITH lines AS (
-  SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey, sum(CAST(l_quantity AS BIGINT)) AS l_quantity
+  SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey, sum(CAST(l_quantity AS BIGINT)) AS l_quantity,
+    min(l_shipdate) AS l_shipdate
   FROM lineitem GROUP BY l_orderkey, l_linenumber),
 taken AS (
-  SELECT l_partkey, sum(l_quantity) AS taken FROM lines JOIN orders ON l_orderkey = o_orderkey
-  WHERE o_orderdate >= DATE '2001-01-01' GROUP BY l_partkey)
+  SELECT l_partkey, sum(l_quantity) AS taken FROM lines WHERE l_shipdate >= DATE '2001-01-01' GROUP BY l_partkey)
 """
 
 
@@ -254,7 +259,7 @@ taken AS (
     UNION ALL SELECT 'lineitem', count(*), CAST(sum(l_quantity) AS BIGINT), TRUE FROM lines""",
 )
 def batch_accepted(spark, folder):
-    return _state_summary(_recent_batch(spark, folder, merge_lines=True))
+    return _state_summary(_applied(spark, folder, merge_lines=True))
 
 
 @query(
@@ -264,7 +269,7 @@ def batch_accepted(spark, folder):
     FROM part LEFT JOIN taken ON p_partkey = l_partkey""",
 )
 def batch_accepted_stock(spark, folder):
-    return _recent_batch(spark, folder, merge_lines=True).tables["part"]
+    return _applied(spark, folder, merge_lines=True).tables["part"]
 
 
 @query(
@@ -274,18 +279,19 @@ def batch_accepted_stock(spark, folder):
     UNION ALL SELECT 'orders', count(*), CAST(sum(o_orderkey) AS BIGINT), FALSE
       FROM orders WHERE o_orderdate < DATE '2001-01-01'
     UNION ALL SELECT 'lineitem', count(*), CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT), FALSE
-      FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderdate < DATE '2001-01-01'""",
+      FROM lineitem WHERE l_shipdate < DATE '2001-01-01'""",
 )
 def batch_rejected(spark, folder):
-    return _state_summary(_recent_batch(spark, folder, merge_lines=False))
+    return _state_summary(_applied(spark, folder, merge_lines=False))
 
 
 @query(
     "batch_violations",
     """SELECT 'lineitem' AS table_name, 'primary_key' AS constraint_name, 'primary_key' AS kind,
-      CAST(l_orderkey || '|' || l_linenumber AS VARCHAR) AS "key", count(*) AS n_rows
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderdate >= DATE '2001-01-01'
-    GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
+      CAST(l_orderkey || '|' || l_linenumber AS VARCHAR) AS "key",
+      count(CASE WHEN l_shipdate >= DATE '2001-01-01' THEN 1 END) AS n_rows
+    FROM lineitem GROUP BY l_orderkey, l_linenumber
+    HAVING count(*) > 1 AND count(CASE WHEN l_shipdate >= DATE '2001-01-01' THEN 1 END) > 0""",
 )
 def batch_violations(spark, folder):
-    return _recent_batch(spark, folder, merge_lines=False).violations
+    return changes.batch_violations(*_recent_batch(spark, folder, merge_lines=False))

@@ -43,6 +43,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def land(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared folder and read it back.
+
+    For rows that several jobs read: they are computed once and all readers see the same.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and go on from the written copy."""
     context = df.sparkSession.sparkContext
