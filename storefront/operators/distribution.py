@@ -1,10 +1,11 @@
-"""Describe, quantiles, histograms and box plots from one shared table of value counts.
-
-Every operator here starts from ``value_frequencies``: one scan, combined on the map
-side, so that a value held by a third of all rows arrives as one row per task. All
-later steps read that one shuffle again (Spark reuses the exchange). Exact quantiles
-come from two rounds of counting cells and a last look at the few values of the cells
-that hold a wanted rank, so no task ever sorts or holds a whole column.
+"""Describe, quantiles, histograms and box plots without a task that sees a whole column.
+
+Columns are read in long form, (column_name, value), and counted by cell on the map
+side: a cell is one step of a rising function of the value, so the cells of a column are
+ranges in order and there is a fixed number of them, however many rows there are. Counts
+and moments come from the cells alone. Exact quantiles need a second scan that keeps only
+the values of the few cells holding a wanted rank. A value that a third of all rows share
+leaves each task as one row.
 """
 
 from __future__ import annotations
@@ -26,15 +27,47 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
-def value_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column_name, value, n) for the values present in ``columns``, as doubles."""
+def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column_name, value, cell) for the values present in ``columns``, as doubles."""
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    long = numbers.unpivot([], list(columns), "column_name", "value")
-    return (
-        long.where(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy("column_name", "value")
-        .agg(F.count("*").alias("n"))
+    values = numbers.unpivot([], list(columns), "column_name", "value")
+    # The coalesce keeps the cell free of NULL tests when it is a join key: such a test
+    # would be pushed towards the scan, and its branches could no longer share exchanges.
+    magnitude = "signum(value) * log2(1 + abs(value))"
+    cell = F.expr(f"coalesce(floor({magnitude} * {_CELLS_PER_OCTAVE}), 0L)")
+    return values.where("value IS NOT NULL AND NOT isnan(value)").withColumn("cell", cell)
+
+
+def _cells(long: DataFrame) -> DataFrame:
+    """Count and range of every cell, with the number of values in its column."""
+    counted = long.groupBy("column_name", "cell").agg(
+        F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
+    )
+    return counted.withColumn("total", F.sum("n").over(Window.partitionBy("column_name")))
+
+
+def _cells_with_moments(long: DataFrame) -> DataFrame:
+    """The cells, each row with mean, squared deviations and extremes of its column.
+
+    Squares around the common mean are those inside the cells and those between them.
+    """
+    whole = Window.partitionBy("column_name")
+    counted = long.groupBy("column_name", "cell").agg(
+        F.count("*").alias("n"),
+        F.min("value").alias("low"),
+        F.max("value").alias("high"),
+        F.avg("value").alias("center"),
+        F.var_pop("value").alias("spread"),
+    )
+    centred = counted.select(
+        "*",
+        F.sum("n").over(whole).alias("total"),
+        (F.sum(F.col("center") * F.col("n")).over(whole) / F.sum("n").over(whole)).alias("mean"),
+        F.min("low").over(whole).alias("min"),
+        F.max("high").over(whole).alias("max"),
     )
+    squares = F.sum(F.expr("n * (spread + pow(center - mean, 2))")).over(whole)
+    return centred.withColumn("squares", squares)
 
 
 def _names(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -67,40 +100,26 @@ def _holding_a_rank(
     )
 
 
-def quantiles(frequencies: DataFrame, probabilities: Mapping[str, float] = QUARTILES) -> DataFrame:
-    """Exact quantiles with linear interpolation, one row per column name.
-
-    A cell is any step of a rising function of the value, so the cells of one column
-    are ranges in order. The first round uses steps of the logarithm; the second cuts
-    each cell that holds a wanted rank into equal parts; what is left are the distinct
-    values of at most two parts per quantile.
-    """
-    # The coalesce keeps join keys free of NULL tests: such a test would be pushed below
-    # the count, and the branches could no longer share its exchange.
-    magnitude = "signum(value) * log2(1 + abs(value))"
-    placed = frequencies.withColumn(
-        "cell", F.expr(f"coalesce(floor({magnitude} * {_CELLS_PER_OCTAVE}), 0L)")
-    )
-    cells = (
-        placed.groupBy("column_name", "cell")
-        .agg(F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
-        .withColumn("total", F.sum("n").over(Window.partitionBy("column_name")))
-        .withColumn("before", F.lit(0).cast("bigint"))
-    )
-    coarse = _holding_a_rank(cells, ["column_name"], "cell", probabilities).select(
-        "column_name", "cell", "low", "high", "total", F.col("first").alias("before")
-    )
-
-    part = f"coalesce(floor((value - low) / nullif(high - low, 0D) * {_PARTS_PER_CELL}), 0L)"
+def _quantiles(
+    long: DataFrame, cells: DataFrame, probabilities: Mapping[str, float], carried: Sequence[str] = ()
+) -> DataFrame:
+    """Quantiles per column name; ``carried`` columns of the cells stay with their column."""
+    coarse = _holding_a_rank(
+        cells.withColumn("before", F.lit(0).cast("bigint")), ["column_name"], "cell", probabilities
+    ).select("column_name", "cell", "low", "high", F.col("first").alias("before"), *dict.fromkeys(("total", *carried)))
     # At most two cells per quantile and column: the broadcast cannot grow with the data.
-    inside = placed.join(F.broadcast(coarse), ["column_name", "cell"]).withColumn("part", F.expr(part))
-    parts = inside.groupBy("column_name", "cell", "part", "total", "before").agg(F.sum("n").alias("n"))
+    inside = long.join(F.broadcast(coarse), ["column_name", "cell"])
+    part = f"coalesce(floor((value - low) / nullif(high - low, 0D) * {_PARTS_PER_CELL}), 0L)"
+    counted = (
+        inside.groupBy(*coarse.columns, "value").agg(F.count("*").alias("n")).withColumn("part", F.expr(part))
+    )
+    parts = counted.groupBy("column_name", "cell", "part", "total", "before").agg(F.sum("n").alias("n"))
     fine = _holding_a_rank(parts, ["column_name", "cell"], "part", probabilities).select(
         "column_name", "cell", "part", F.col("first").alias("before")
     )
-
-    values = inside.drop("before").join(F.broadcast(fine), ["column_name", "cell", "part"])
-    found = _holding_a_rank(values, ["column_name", "cell", "part"], "value", probabilities)
+    # What is left are the distinct values of at most two parts per quantile.
+    left = counted.drop("before").join(F.broadcast(fine), ["column_name", "cell", "part"])
+    found = _holding_a_rank(left, ["column_name", "cell", "part"], "value", probabilities)
 
     def value_at(rank: str) -> str:
         return f"max(CASE WHEN {rank} >= first AND {rank} < last THEN value END)"
@@ -110,7 +129,20 @@ def quantiles(frequencies: DataFrame, probabilities: Mapping[str, float] = QUART
         low, high = value_at(f"floor({at})"), value_at(f"ceil({at})")
         share = f"max({at} - floor({at}))"
         picked.append(F.expr(f"{low} + ({high} - {low}) * {share}").alias(name))
-    return found.groupBy("column_name").agg(*picked)
+    return found.groupBy("column_name", *carried).agg(*picked)
+
+
+def quantiles(
+    df: DataFrame, columns: Sequence[str], probabilities: Mapping[str, float] = QUARTILES
+) -> DataFrame:
+    """Exact quantiles with linear interpolation, one row per column that has values.
+
+    ``probabilities`` names the result columns. Cells are steps of the logarithm; each
+    cell that holds a wanted rank is cut once more into equal parts, and only the values
+    of the parts in question are put in order.
+    """
+    long = _long(df, columns)
+    return _quantiles(long, _cells(long), probabilities)
 
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -119,28 +151,18 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     One row per column; missing values are left out of every figure.
     """
     columns = list(columns or numeric_columns(df))
-    frequencies = value_frequencies(df, columns)
-    levels = frequencies.groupBy("column_name").agg(
-        F.sum("n").alias("count"),
-        (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    # One row per described column.
-    spread = (
-        frequencies.join(F.broadcast(levels), "column_name")
-        .groupBy("column_name", "count", "mean", "min", "max")
-        .agg(F.sum(F.col("n") * F.pow(F.col("value") - F.col("mean"), F.lit(2))).alias("squares"))
-        .withColumn("std", F.sqrt(F.try_divide(F.col("squares"), F.col("count") - 1)))
-    )
+    long = _long(df, columns)
+    carried = ("total", "mean", "squares", "min", "max")
+    described = _quantiles(long, _cells_with_moments(long), QUARTILES, carried)
     return (
         _names(df, columns)
-        .join(spread, "column_name", "left")
-        .join(quantiles(frequencies), "column_name", "left")
+        .join(described, "column_name", "left")
         .select(
             "column_name",
-            F.coalesce("count", F.lit(0).cast("bigint")).alias("count"),
-            "mean", "std", "min", *QUARTILES, "max",
+            F.coalesce("total", F.lit(0).cast("bigint")).alias("count"),
+            "mean",
+            F.sqrt(F.try_divide(F.col("squares"), F.col("total") - 1)).alias("std"),
+            "min", *QUARTILES, "max",
         )
     )
 
@@ -151,68 +173,63 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     Bins are closed on the left, the last one on both sides. A column with a single
     value gets a range of one around it.
     """
-    frequencies = value_frequencies(df, [column])
-    span = frequencies.groupBy("column_name").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    flat = F.col("lo") == F.col("hi")
-    span = span.select(
-        "column_name",
-        F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-        F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
-    ).withColumn("step", (F.col("hi") - F.col("lo")) / bins)
-
-    def edge(i: Column) -> Column:
-        return F.col("lo") + i * F.col("step")
-
-    guess = F.least(F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins), F.lit(bins - 1))
-    # The division may round a value across an edge; the edges themselves decide.
-    exact = (
-        F.when(F.col("value") < edge(F.col("guess")), F.col("guess") - 1)
-        .when(
-            (F.col("value") >= edge(F.col("guess") + 1)) & (F.col("guess") < bins - 1),
-            F.col("guess") + 1,
+    values = _long(df, [column])
+    span = (
+        values.groupBy("column_name")
+        .agg(F.min("value").alias("low"), F.max("value").alias("high"))
+        .selectExpr(
+            "column_name",
+            "CASE WHEN low = high THEN low - 0.5D ELSE low END AS low",
+            "CASE WHEN low = high THEN high + 0.5D ELSE high END AS high",
         )
-        .otherwise(F.col("guess"))
+        .withColumn("step", F.expr(f"(high - low) / {bins}"))
+    )
+    guess = F.expr(f"coalesce(least(floor((value - low) / (high - low) * {bins}), {bins - 1}), 0)")
+    # The division may round a value across an edge; the edges themselves decide.
+    exact = F.expr(
+        f"""CAST(CASE WHEN value < low + guess * step THEN guess - 1
+             WHEN value >= low + (guess + 1) * step AND guess < {bins - 1} THEN guess + 1
+             ELSE guess END AS INT)"""
     )
     # One row of range, one row per bin: both broadcasts are of fixed size.
     counted = (
-        frequencies.join(F.broadcast(span), "column_name")
+        values.join(F.broadcast(span), "column_name")
         .withColumn("guess", guess)
-        .groupBy(exact.cast("int").alias("bin"))
-        .agg(F.sum("n").alias("n_rows"))
-    )
-    frame = span.select(
-        F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), "lo", "hi", "step"
+        .groupBy(exact.alias("bin"))
+        .agg(F.count("*").alias("n_rows"))
     )
+    frame = span.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     return frame.join(F.broadcast(counted), "bin", "left").select(
         "bin",
-        edge(F.col("bin")).alias("bin_from"),
-        F.when(F.col("bin") == bins - 1, F.col("hi")).otherwise(edge(F.col("bin") + 1)).alias("bin_to"),
+        F.expr("low + bin * step").alias("bin_from"),
+        F.expr(f"CASE WHEN bin = {bins - 1} THEN high ELSE low + (bin + 1) * step END").alias("bin_to"),
         F.coalesce("n_rows", F.lit(0).cast("bigint")).alias("n_rows"),
     )
 
 
+def _within(low: str, high: str) -> Column:
+    return F.col("value").between(F.col(low), F.col(high))
+
+
 def box_plot(df: DataFrame, column: str, reach: float = 1.5) -> DataFrame:
     """Quartiles, whiskers and outlier count of one column.
 
     Whiskers end at the outermost values that lie within ``reach`` interquartile
     ranges of the box; they never end inside the box.
     """
-    frequencies = value_frequencies(df, [column])
-    box = quantiles(frequencies)
+    values = _long(df, [column])
     width = F.col("q75") - F.col("q25")
-    # One row.
-    fenced = frequencies.join(F.broadcast(box), "column_name").select(
-        "*",
-        (F.col("q25") - reach * width).alias("fence_low"),
-        (F.col("q75") + reach * width).alias("fence_high"),
+    box = _quantiles(values, _cells(values), QUARTILES).select(
+        "*", (F.col("q25") - reach * width).alias("fence_low"), (F.col("q75") + reach * width).alias("fence_high")
     )
-    inside = F.col("value").between(F.col("fence_low"), F.col("fence_high"))
+    # The box is one row.
     return (
-        fenced.groupBy("column_name", "q25", "q50", "q75")
+        values.join(F.broadcast(box), "column_name")
+        .groupBy("q25", "q50", "q75")
         .agg(
             F.min(F.when(F.col("value") >= F.col("fence_low"), F.col("value"))).alias("lowest"),
             F.max(F.when(F.col("value") <= F.col("fence_high"), F.col("value"))).alias("highest"),
-            F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("n_outliers"),
+            F.sum(F.when(_within("fence_low", "fence_high"), 0).otherwise(1)).alias("n_outliers"),
         )
         .select(
             "q25", F.col("q50").alias("median"), "q75",

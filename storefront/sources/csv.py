@@ -55,6 +55,8 @@ def write_csv(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
         df.write.mode("overwrite")
         .option("header", True)
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("maxRecordsPerFile", rows_per_file)
         .csv(path)
     )
