@@ -240,34 +240,38 @@ def _state_summary(result: changes.BatchResult) -> DataFrame:
     return reduce(DataFrame.unionByName, rows).withColumn("accepted", accepted)
 
 
+# Of the rules, only the stock can fail once repeated line keys are merged.
 _LINES_SQL = """WITH lines AS (
   SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey, sum(CAST(l_quantity AS BIGINT)) AS l_quantity,
     min(l_shipdate) AS l_shipdate
   FROM lineitem GROUP BY l_orderkey, l_linenumber),
 taken AS (
-  SELECT l_partkey, sum(l_quantity) AS taken FROM lines WHERE l_shipdate >= DATE '2001-01-01' GROUP BY l_partkey)
+  SELECT l_partkey, sum(l_quantity) AS taken FROM lines WHERE l_shipdate >= DATE '2001-01-01' GROUP BY l_partkey),
+verdict AS (
+  SELECT count(*) = 0 AS accepted FROM part JOIN taken ON p_partkey = l_partkey WHERE p_size * 1000 - taken < 0),
+stocked AS (
+  SELECT p_partkey, p_name,
+    CAST(p_size * 1000 - CASE WHEN accepted THEN coalesce(taken, 0) ELSE 0 END AS BIGINT) AS stock
+  FROM part LEFT JOIN taken ON p_partkey = l_partkey CROSS JOIN verdict)
 """
 
 
 @query(
     "batch_accepted",
     _LINES_SQL
-    + """SELECT 'part' AS table_name, count(*) AS n_rows,
-      CAST(sum(p_size * 1000 - coalesce(taken, 0)) AS BIGINT) AS total, TRUE AS accepted
-    FROM part LEFT JOIN taken ON p_partkey = l_partkey
-    UNION ALL SELECT 'orders', count(*), CAST(sum(o_orderkey) AS BIGINT), TRUE FROM orders
-    UNION ALL SELECT 'lineitem', count(*), CAST(sum(l_quantity) AS BIGINT), TRUE FROM lines""",
+    + """SELECT t.*, accepted FROM (
+      SELECT 'part' AS table_name, count(*) AS n_rows, CAST(sum(stock) AS BIGINT) AS total FROM stocked
+      UNION ALL SELECT 'orders', count(*), CAST(sum(o_orderkey) AS BIGINT)
+        FROM orders CROSS JOIN verdict WHERE accepted OR o_orderdate < DATE '2001-01-01'
+      UNION ALL SELECT 'lineitem', count(*), CAST(sum(l_quantity) AS BIGINT)
+        FROM lines CROSS JOIN verdict WHERE accepted OR l_shipdate < DATE '2001-01-01') AS t
+    CROSS JOIN verdict""",
 )
 def batch_accepted(spark, folder):
     return _state_summary(_applied(spark, folder, merge_lines=True))
 
 
-@query(
-    "batch_accepted_stock",
-    _LINES_SQL
-    + """SELECT p_partkey, p_name, CAST(p_size * 1000 - coalesce(taken, 0) AS BIGINT) AS stock
-    FROM part LEFT JOIN taken ON p_partkey = l_partkey""",
-)
+@query("batch_accepted_stock", _LINES_SQL + "SELECT * FROM stocked")
 def batch_accepted_stock(spark, folder):
     return _applied(spark, folder, merge_lines=True).tables["part"]
 
@@ -291,7 +295,11 @@ def batch_rejected(spark, folder):
       CAST(l_orderkey || '|' || l_linenumber AS VARCHAR) AS "key",
       count(CASE WHEN l_shipdate >= DATE '2001-01-01' THEN 1 END) AS n_rows
     FROM lineitem GROUP BY l_orderkey, l_linenumber
-    HAVING count(*) > 1 AND count(CASE WHEN l_shipdate >= DATE '2001-01-01' THEN 1 END) > 0""",
+    HAVING count(*) > 1 AND count(CASE WHEN l_shipdate >= DATE '2001-01-01' THEN 1 END) > 0
+    UNION ALL SELECT 'part', 'stock_not_negative', 'check', CAST(p_partkey AS VARCHAR), 1
+    FROM part JOIN (SELECT l_partkey, sum(CAST(l_quantity AS BIGINT)) AS taken FROM lineitem
+      WHERE l_shipdate >= DATE '2001-01-01' GROUP BY l_partkey) AS t ON p_partkey = l_partkey
+    WHERE p_size * 1000 - taken < 0""",
 )
 def batch_violations(spark, folder):
     return changes.batch_violations(*_recent_batch(spark, folder, merge_lines=False))

@@ -21,3 +21,12 @@ def rows():
         return sorted((tuple(r) for r in df.collect()), key=repr)
 
     return collect
+
+
+@pytest.fixture(autouse=True)
+def interpreted_on_tiny_frames(request, spark):
+    """Compiling plans takes longer than running them on a handful of rows."""
+    tiny = "test_queries" not in request.module.__name__
+    spark.conf.set("spark.sql.codegen.wholeStage", not tiny)
+    yield
+    spark.conf.unset("spark.sql.codegen.wholeStage")
