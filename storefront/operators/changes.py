@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from storefront.operators import quality
 from storefront.schemas import TableRules
-from storefront.session import cut_lineage, land
+from storefront.session import land
 
 
 def with_defaults(batch: DataFrame, like: DataFrame, defaults: Mapping[str, str]) -> DataFrame:
@@ -74,7 +74,8 @@ class StockUpdate:
 
 @dataclass(frozen=True)
 class BatchResult:
-    """``verdict`` is one row (accepted, n_violations); ``tables`` is the next state."""
+    """``verdict`` is one row (accepted, n_violations), ``violations`` says what is wrong,
+    ``tables`` is the next state."""
 
     verdict: DataFrame
     violations: DataFrame
@@ -165,9 +166,9 @@ def apply_batch(
     """The next state of all tables: the whole batch applied, or nothing of it.
 
     The verdict is a single row that every table of the next state reads as a scalar
-    subquery. ``durable`` writes the batch and its verdict to the shared folder once, so
-    that tables written one after the other cannot see different rows or verdicts, and
-    the many checks do not compute the batch again.
+    subquery. ``durable`` writes the batch and what is wrong with it to the shared folder
+    once, so that tables written one after the other cannot see different rows or
+    verdicts, and neither the batch nor its checks are computed again.
     """
     complete = {n: with_defaults(rows, existing[n], rules[n].defaults) for n, rows in batch.items()}
     if durable:
@@ -175,11 +176,11 @@ def apply_batch(
         if stock is not None:
             stock = replace(stock, changes=land(stock.changes, "batch-stock"))
     violations = batch_violations(existing, complete, rules, stock)
+    if durable:
+        violations = land(violations, "batch-violations")
     verdict = violations.agg(
         (F.count("*") == 0).alias("accepted"), F.count("*").alias("n_violations")
     )
-    if durable:
-        verdict = cut_lineage(verdict)
     accepted = verdict.select("accepted").scalar()
     tables = dict(existing)
     for name, rows in complete.items():

@@ -1,4 +1,4 @@
-"""Session helpers: local sessions for tests, shared scratch space, durable lineage cuts."""
+"""Session helpers: local sessions for tests, shared scratch space, landed tables."""
 
 from __future__ import annotations
 
@@ -46,16 +46,9 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def land(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
-    For rows that several jobs read: they are computed once and all readers see the same.
+    For rows that several jobs read: they are computed once, all readers see the same, and
+    a lost executor takes nothing with it.
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and go on from the written copy."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
