@@ -1,5 +1,6 @@
 import datetime as dt
 import math
+from types import SimpleNamespace
 
 import pandas as pd
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from storefront.operators import aggregate, joins, profile, stats
 from storefront.schemas import CUSTOMERS, LISTING_SCHEMA, SHOP
-from storefront.session import land, scratch_path
+from storefront.session import land, scratch_path, shared_folder
 from storefront.sources.csv import read_csv, write_csv
 from storefront.sources.tables import literal_rows, load, register_views, run_sql, write_state
 
@@ -74,6 +75,20 @@ def test_land_reads_back_the_same(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
+def _session(folder, master):
+    """As much of a session as the choice of a folder needs."""
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: folder), sparkContext=SimpleNamespace(master=master)
+    )
+
+
+def test_scratch_lies_in_the_folder_the_session_names():
+    assert scratch_path(_session("hdfs://shared/", "yarn"), "x").startswith("hdfs://shared/x-")
+    assert shared_folder(_session(None, "local[2]")) == shared_folder(_session(None, "local[2]"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(_session(None, "yarn"))
+
+
 def test_shape_profile_and_counts(spark):
     df = spark.createDataFrame([(1, float("nan"), None), (2, 1.0, "x")], "a INT, b DOUBLE, c STRING")
     assert tuple(profile.shape(df).first()) == (2, 3)
