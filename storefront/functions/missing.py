@@ -1,4 +1,4 @@
-"""One rule for missing values: NaN becomes NULL where data comes in."""
+"""Values as they come in: NaN becomes NULL, and a number is written in digits only."""
 
 from __future__ import annotations
 
@@ -11,6 +11,14 @@ def present(column: Column) -> Column:
     return F.nullif(column, F.lit(float("nan")))
 
 
+def number_text(text: Column) -> Column:
+    """The text, spoiled where a type letter follows the number, as in ``12d``.
+
+    Java reads such a text as a number; a product code must not turn into one.
+    """
+    return F.regexp_replace(text, r"([0-9.][dDfF])(\s*)$", "$1?$2")
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Replace NaN by NULL in every float and double column."""
     floating = {name for name, dtype in df.dtypes if dtype in ("float", "double")}

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from storefront.functions.missing import present
+from storefront.functions.missing import number_text, present
 
 # Every character that counts as white space in Unicode text.
 _BLANKS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace())
@@ -25,7 +25,7 @@ def parse_currency(column: Column | str, strict: bool = True, marks: str = CURRE
     """
     c = F.col(column) if isinstance(column, str) else column
     unmarked = reduce(lambda text, mark: F.replace(text, F.lit(mark)), marks, c.cast("string"))
-    bare = F.btrim(unmarked, F.lit(_BLANKS))
+    bare = number_text(F.btrim(unmarked, F.lit(_BLANKS)))
     return present(bare.cast("double") if strict else bare.try_cast("double"))
 
 

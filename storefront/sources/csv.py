@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from storefront.functions.missing import nan_to_null
+from storefront.functions.missing import nan_to_null, number_text
 
 # The texts that count as missing when a CSV is read.
 MISSING_TEXTS = (
@@ -15,6 +15,44 @@ MISSING_TEXTS = (
     "nan", "null",
 )
 
+# The texts that are read as true or false.
+BOOLEAN_TEXTS = ("True", "TRUE", "true", "False", "FALSE", "false")
+
+
+def _present(name: str) -> Column:
+    return F.when(~F.col(name).isin(*MISSING_TEXTS), F.col(name))
+
+
+def _typed(name: str, dtype: T.DataType | str) -> Column:
+    text = _present(name)
+    floating = dtype in ("double", T.DoubleType(), T.FloatType())
+    return (number_text(text) if floating else text).cast(dtype).alias(name)
+
+
+def infer_types(raw: DataFrame) -> dict[str, str]:
+    """The narrowest type that reads every field of each text column, found in one scan.
+
+    One row of counts comes to the driver. A column without any value counts as double.
+    """
+    counts = []
+    for i, name in enumerate(raw.columns):
+        text = _present(name)
+        number = number_text(text)
+        counts += [
+            F.count(text).alias(f"n{i}"),
+            F.count_if(text.isin(*BOOLEAN_TEXTS)).alias(f"boolean{i}"),
+            F.count(number.try_cast("bigint")).alias(f"bigint{i}"),
+            F.count(number.try_cast("double")).alias(f"double{i}"),
+        ]
+    seen = raw.agg(*counts).first()
+
+    def fitting(i: int) -> str:
+        if seen[f"n{i}"] == 0:
+            return "double"
+        return next((t for t in ("boolean", "bigint", "double") if seen[f"{t}{i}"] == seen[f"n{i}"]), "string")
+
+    return {name: fitting(i) for i, name in enumerate(raw.columns)}
+
 
 def read_csv(
     spark: SparkSession,
@@ -25,8 +63,8 @@ def read_csv(
     """Read CSV files with a header; missing texts become NULL, bad values raise.
 
     Fields are read as text and cast to ``schema``, so a malformed number fails the
-    job instead of turning into a silent NULL. Without a schema Spark infers one,
-    which costs a scan of its own. ``multi_line`` is needed when quoted text holds
+    job instead of turning into a silent NULL. Without a schema the types are found
+    first, which costs a scan of its own. ``multi_line`` is needed when quoted text holds
     line breaks; a file is then read by one task, so turn it off for data known to
     be line-safe if single files are large (``write_csv`` keeps files small).
     """
@@ -37,16 +75,14 @@ def read_csv(
         .option("enforceSchema", False)
     )
     if schema is None:
-        return nan_to_null(reader.option("inferSchema", True).option("nanValue", "nan").csv(path))
-    if isinstance(schema, str):
-        schema = T.StructType.fromDDL(schema)
-    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-    raw = reader.schema(as_text).csv(path)
-    typed = [
-        F.when(~F.col(f.name).isin(*MISSING_TEXTS), F.col(f.name)).cast(f.dataType).alias(f.name)
-        for f in schema
-    ]
-    return nan_to_null(raw.select(*typed))
+        raw = reader.csv(path)
+        types = infer_types(raw)
+    else:
+        if isinstance(schema, str):
+            schema = T.StructType.fromDDL(schema)
+        raw = reader.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in schema])).csv(path)
+        types = {f.name: f.dataType for f in schema}
+    return nan_to_null(raw.select(*[_typed(name, t) for name, t in types.items()]))
 
 
 def write_csv(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:

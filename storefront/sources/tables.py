@@ -7,6 +7,8 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from storefront.schemas import TableRules
+
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """The Parquet table ``name`` of ``folder``."""
@@ -20,6 +22,11 @@ def literal_rows(
     return spark.createDataFrame(list(rows), schema)
 
 
+def empty_tables(spark: SparkSession, rules: Mapping[str, TableRules]) -> dict[str, DataFrame]:
+    """Each declared table, newly made and without rows."""
+    return {name: spark.createDataFrame([], rule.schema) for name, rule in rules.items()}
+
+
 def run_sql(spark: SparkSession, text: str, tables: Mapping[str, DataFrame]) -> DataFrame:
     """Run SQL whose table names stand in braces, e.g. ``SELECT * FROM {orders}``."""
     return spark.sql(text, **tables)

@@ -35,10 +35,10 @@ def test_duplicates_count_missing_as_equal(spark):
 
 
 def test_parse_currency(spark):
-    texts = ['"₹1,299"', "\t₹ 2,50,000.50  ", "17", None, "nan", "n/a"]
+    texts = ['"₹1,299"', "\t₹ 2,50,000.50  ", "17", None, "nan", "n/a", "12d", "1e3"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i INT, t STRING")
     lenient = df.select("i", parse_currency("t", strict=False).alias("x")).orderBy("i").collect()
-    assert [r.x for r in lenient] == [1299.0, 250000.5, 17.0, None, None, None]
+    assert [r.x for r in lenient] == [1299.0, 250000.5, 17.0, None, None, None, None, 1000.0]
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         df.select(parse_currency("t")).collect()
     assert df.where("i < 5").select(parse_currency("t").alias("x")).where("x > 0").count() == 3
