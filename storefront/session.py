@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,22 +22,15 @@ def local_session(cores: str | int = "*", app: str = "storefront") -> SparkSessi
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
+    """The folder that every executor reaches, for what several jobs read.
 
-    Only a local session may fall back to a temporary folder: on a cluster such a
-    folder would be gone with the machine that holds it.
+    Named by ``spark.checkpoint.dir``, else the folder given to ``setCheckpointDir``, else
+    a folder in the warehouse: one rule for every kind of session.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return _local_folder()
-
-
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="storefront-")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
