@@ -43,7 +43,7 @@ FREQUENT = 32
 SPARE = 1.2  # lowest tokens listed at first, as a multiple of the prefix
 SINGLES_BELOW = 10  # smaller sets index every prefix token singly
 BAND = 1.5625  # sizes of a band, largest over smallest
-HUB_ROUNDS = 3
+HUB_ROUNDS = 2
 ROWS_AT_ONCE = 256
 _MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15)
 
@@ -250,39 +250,41 @@ def links(docs: DataFrame, listing: DataFrame, text: str = "text") -> DataFrame:
     """(a, b) that connect all nodes with the similarity; see the module for which pairs."""
     entries = index(docs, listing, text)
     whole = _whole_sets(docs, text, listing, entries.select("node").distinct(), "sets")
-    tried = found = None
-    of = entries.withColumn("component", F.col("node"))
-    for turn in range(HUB_ROUNDS + 1):
-        if turn:
-            split = of.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"))
-            of = of.join(split.where("_lo <> _hi").select("key"), "key", "left_semi")
-        if turn < HUB_ROUNDS:
-            order = F.xxhash64("node", F.lit(turn))
-            hubs = of.groupBy("key").agg(F.min_by(F.struct("node", "n", "component"), order).alias("_hub"))
-            pairs = of.join(hubs, "key").select(
-                "node", "n", "component", F.col("_hub.node").alias("_other"), F.col("_hub.n").alias("_m"), F.col("_hub.component").alias("_c")
-            )
-        else:
-            other = of.select("key", F.col("node").alias("_other"), F.col("n").alias("_m"), F.col("component").alias("_c"))
-            pairs = of.join(other, "key").where("node < _other")
-        pairs = pairs.where((F.col("component") != F.col("_c")) & _fits("n", "_m"))
-        pairs = pairs.select(F.greatest("node", "_other").alias("a"), F.least("node", "_other").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = land(pairs, f"pairs-{turn}")
-        new = land(_verified(pairs, whole), f"links-{turn}")
+    of, tried, found = entries.withColumn("component", F.col("node")), None, None
+    for turn in range(HUB_ROUNDS):
+        order = F.xxhash64("node", F.lit(turn))
+        hubs = of.groupBy("key").agg(F.min_by(F.struct("node", "n", "component"), order).alias("_hub"))
+        pairs = of.join(hubs, "key").select(
+            "node", "n", "component", F.col("_hub.node").alias("_other"), F.col("_hub.n").alias("_m"), F.col("_hub.component").alias("_c")
+        )
+        pairs, new = _tested(pairs, tried, whole, turn)
+        if found is not None and pairs.isEmpty():
+            break
         tried = pairs if tried is None else tried.unionAll(pairs)
         found = new if found is None else found.unionAll(new)
-        if turn < HUB_ROUNDS:
-            joined = components(found).withColumnRenamed("component", "_new")
-            of = entries.join(joined, "node", "left").select("key", "node", "n", F.coalesce("_new", "node").alias("component"))
-            of = land(of, f"entries-{turn}")
-    return found
+        joined = components(found).withColumnRenamed("component", "_new")
+        of = entries.join(joined, "node", "left").select("key", "node", "n", F.coalesce("_new", "node").alias("component"))
+        split = of.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where("_lo <> _hi")
+        of = land(of.join(split.select("key"), "key", "left_semi"), f"entries-{turn}")
+    other = of.select("key", F.col("node").alias("_other"), F.col("n").alias("_m"), F.col("component").alias("_c"))
+    _, new = _tested(of.join(other, "key").where("node < _other"), tried, whole, HUB_ROUNDS)
+    return found.unionAll(new)
+
+
+def _tested(pairs: DataFrame, tried: DataFrame | None, whole: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs of unlike components that were not compared before, and those of them that are links."""
+    pairs = pairs.where((F.col("component") != F.col("_c")) & _fits("n", "_m"))
+    pairs = pairs.select(F.greatest("node", "_other").alias("a"), F.least("node", "_other").alias("b")).distinct()
+    if tried is not None:
+        pairs = pairs.join(tried, ["a", "b"], "left_anti")
+    pairs = land(pairs, f"pairs-{turn}")
+    return pairs, land(_verified(pairs, whole), f"links-{turn}")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, n_links (of the row's set,
-    to its component's star: sets compared with success, copies not counted)."""
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, and n_links, the sets that
+    were found similar to the row's (those that were compared: once two sets are in one
+    component they need not be)."""
     listing = land(sets(docs, text), "shingle-lists")
     found = links(docs, listing, text)
     joined = components(found)

@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from storefront.llm import bpe, decontamination, line_dedup, ngram_join, quality_rules
+from storefront.llm import (
+    bpe,
+    decontamination,
+    language_id,
+    license_scan,
+    line_dedup,
+    ngram_join,
+    quality_classifier,
+    quality_rules,
+    toxicity,
+    url_filter,
+)
 from storefront.llm.common import documents, load
 from storefront.plans.registry import query
 
@@ -66,6 +77,96 @@ def op2_decontamination(spark, folder):
     return decontamination.contaminated(documents(spark, folder), load(spark, folder, "benchmark")).drop("_key")
 
 
+@query("op3_language_id")
+def op3_language_id(spark, folder):
+    """lang is read to learn from; a prediction sees the text only."""
+    docs = documents(spark, folder).select("doc_id", "text", "lang")
+    return language_id.identify(docs, public_tokenizers.path("piece_bpe_32k.model")).select(
+        "doc_id", "held_out", "lang_pred", "score"
+    )
+
+
+@query(
+    "op4_url_filter",
+    r"""WITH p AS (
+      SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
+      FROM pages
+    ), r AS (
+      SELECT *, CASE
+        WHEN (host = 'example.net' OR suffix(host, '.example.net')) AND prefix(path, '/en/') THEN 'example.net/en/'
+        WHEN (host = 'example.com' OR suffix(host, '.example.com')) AND prefix(path, '/de/') THEN 'example.com/de/'
+        WHEN (host = 'org' OR suffix(host, '.org')) AND prefix(path, '/fr/') THEN 'org/fr/'
+        WHEN (host = 'net' OR suffix(host, '.net')) AND prefix(path, '/') THEN 'net/' END AS rule
+      FROM p
+    )
+    SELECT page_id, host, path, rule, CASE
+      WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+      WHEN list_has_any(string_split(host, '.'), ['spam-farm', 'cheap-pills']) THEN 'block' ELSE 'allow' END AS verdict
+    FROM r""",
+)
+def op4_url_filter(spark, folder):
+    pages = load(spark, folder, "pages").select("page_id", "url")
+    host, path = url_filter.host_and_path(F.col("url"))
+    keys = pages.select(host.alias("host"), path.alias("path")).where(url_filter.listed_by_label(F.col("host")))
+    listed = keys.select(F.concat("host", "path").alias("key")).distinct()
+    return url_filter.judge(pages, listed).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark, folder):
+    docs = documents(spark, folder).select("doc_id", "text")
+    return toxicity.severity(docs, load(spark, folder, "labels"))
+
+
+@query("op7_quality_classifier")
+def op7_quality_classifier(spark, folder):
+    docs = documents(spark, folder).select("doc_id", "text")
+    return quality_classifier.quality_scores(docs, load(spark, folder, "labels"))
+
+
+_LICENSE_WORDS = (
+    "[x FOR x IN regexp_split_to_array(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF x <> '']"
+)
+_PHRASE_ROWS = ", ".join(f"('{p}', '{label}')" for p, label in license_scan.PHRASES.items())
+_TEMPLATE_ROWS = ", ".join(f"('{t}', '{label}')" for t, label in license_scan.TEMPLATES.items())
+
+
+@query(
+    "op8_license_scan",
+    f"""WITH t AS (
+      SELECT row_number() OVER () AS rid, doc_id, text, {_LICENSE_WORDS.format("coalesce(text, '')")} AS ws FROM documents
+    ), phrases(phrase, label) AS (VALUES {_PHRASE_ROWS}
+    ), templates(template, label) AS (VALUES {_TEMPLATE_ROWS}
+    ), starts AS (
+      SELECT rid, ws, unnest(range(1, len(ws) + 1)) AS i FROM t
+    ), places AS (
+      SELECT rid, i - 1 AS at, label FROM starts JOIN phrases
+        ON array_to_string(ws[i : i + len(string_split(phrase, ' ')) - 1], ' ') = phrase
+    ), base AS (
+      SELECT rid, count(*) AS n_base, min(at) AS first_word, max(at) AS last_word, list(DISTINCT label) AS base FROM places GROUP BY rid
+    ), lines AS (
+      SELECT rid, {_LICENSE_WORDS.format("line")} AS lw
+      FROM (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM t) WHERE contains(lower(line), 'licen') OR contains(lower(line), 'permi')
+    ), held AS (
+      SELECT rid, label, len(list_intersect(list_distinct(lw), list_distinct(string_split(template, ' '))))
+        / len(list_distinct(string_split(template, ' '))) AS containment FROM lines CROSS JOIN templates
+    ), blocks AS (
+      SELECT rid, list(DISTINCT label) AS found, max(containment) AS best FROM held
+      WHERE containment >= {license_scan.THRESHOLD} GROUP BY rid
+    )
+    SELECT doc_id, len(ws)::bigint AS n_words, coalesce(n_base, 0)::bigint AS n_base, first_word::bigint AS first_word,
+      last_word::bigint AS last_word, array_to_string(list_sort(coalesce(base, [])), ',') AS base_labels,
+      array_to_string(list_sort(list_distinct(coalesce(base, []) || coalesce(found, []))), ',') AS labels,
+      CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(best, 0.0) END::double AS score
+    FROM t LEFT JOIN base USING (rid) LEFT JOIN blocks USING (rid)""",
+)
+def op8_license_scan(spark, folder):
+    return license_scan.license_scan(documents(spark, folder).select("doc_id", "text"))
+
+
 @query("op5_bpe")
 def op5_bpe(spark, folder):
     return bpe.digests(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
