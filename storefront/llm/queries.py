@@ -143,10 +143,10 @@ _TEMPLATE_ROWS = ", ".join(f"('{t}', '{label}')" for t, label in license_scan.TE
     ), starts AS (
       SELECT rid, ws, unnest(range(1, len(ws) + 1)) AS i FROM t
     ), places AS (
-      SELECT rid, i - 1 AS at, label FROM starts JOIN phrases
+      SELECT rid, i - 1 AS spot, label FROM starts JOIN phrases
         ON array_to_string(ws[i : i + len(string_split(phrase, ' ')) - 1], ' ') = phrase
     ), base AS (
-      SELECT rid, count(*) AS n_base, min(at) AS first_word, max(at) AS last_word, list(DISTINCT label) AS base FROM places GROUP BY rid
+      SELECT rid, count(*) AS n_base, min(spot) AS first_word, max(spot) AS last_word, list(DISTINCT label) AS base FROM places GROUP BY rid
     ), lines AS (
       SELECT rid, {_LICENSE_WORDS.format("line")} AS lw
       FROM (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM t) WHERE contains(lower(line), 'licen') OR contains(lower(line), 'permi')
