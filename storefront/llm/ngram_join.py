@@ -40,7 +40,7 @@ from storefront.llm.components import components
 SHINGLE = 5
 PERCENT = 80
 FREQUENT = 32
-SPARE = 1.2  # lowest tokens listed at first, as a multiple of the prefix
+SPARE = 1.25  # lowest tokens listed at first, as a multiple of the prefix (exact in binary)
 SINGLES_BELOW = 10  # smaller sets index every prefix token singly
 BAND = 1.5625  # sizes of a band, largest over smallest
 HUB_ROUNDS = 2
@@ -208,15 +208,13 @@ def _fits(n: str, m: str) -> Column:
 
 def _lacking(hits: DataFrame) -> DataFrame:
     """Nodes without a prefix of rare tokens among their listed ones."""
-    least = F.floor((PERCENT * F.col("n") + 99) / 100)
-    needed = F.col("n") - least + 1
-    listing = F.least(F.col("n"), F.floor(SPARE * needed) + 4)
     counted = hits.where("frequent").groupBy("node").agg(F.any_value("n").alias("n"), F.count("*").alias("_f"))
-    return counted.where(listing - F.col("_f") < needed).select("node")
+    return counted.where(_listed("n") - F.col("_f") < _prefix("n")).select("node")
 
 
-def index(docs: DataFrame, listing: DataFrame, text: str = "text") -> DataFrame:
-    """(key, node, n): two sets that have the similarity share a key at least."""
+def index(docs: DataFrame, listing: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(key, node, n), where sets that have the similarity share a key, and (node, shared), the
+    listed tokens of each set that other sets list too."""
     tokens = listing.select("node", "n", F.explode("tokens").alias("token"))
     stats = tokens.groupBy("token").agg(F.count("*").alias("_c"), F.min("node").alias("_lo"), F.max("node").alias("_hi"))
     shared = land(stats.where("_lo <> _hi").select("token", (F.col("_c") > FREQUENT).alias("frequent")), "shared-tokens")
@@ -243,13 +241,20 @@ def index(docs: DataFrame, listing: DataFrame, text: str = "text") -> DataFrame:
     singles = hits.where(~F.col("frequent")).select(F.col("token").alias("key"), "node", "n")
     entries = land(singles.unionAll(others).unionAll(extended).distinct(), "entries")
     live = entries.groupBy("key").agg(F.count("*").alias("_c")).where("_c > 1").select("key")
-    return land(entries.join(live, "key", "left_semi"), "entries")
+    lists = hits.groupBy("node").agg(F.collect_list("token").alias("shared"))
+    return land(entries.join(live, "key", "left_semi"), "entries"), land(lists, "listed-tokens")
 
 
 def links(docs: DataFrame, listing: DataFrame, text: str = "text") -> DataFrame:
     """(a, b) that connect all nodes with the similarity; see the module for which pairs."""
-    entries = index(docs, listing, text)
-    whole = _whole_sets(docs, text, listing, entries.select("node").distinct(), "sets")
+    entries, lists = index(docs, listing, text)
+
+    def tested(pairs, tried, turn):
+        pairs = _new_pairs(pairs, tried, turn)
+        near = land(_near(pairs, lists), f"near-{turn}")
+        whole = _whole_sets(docs, text, listing, near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "sets")
+        return pairs.select("a", "b"), land(_verified(near, whole), f"links-{turn}")
+
     of, tried, found = entries.withColumn("component", F.col("node")), None, None
     for turn in range(HUB_ROUNDS):
         order = F.xxhash64("node", F.lit(turn))
@@ -257,7 +262,7 @@ def links(docs: DataFrame, listing: DataFrame, text: str = "text") -> DataFrame:
         pairs = of.join(hubs, "key").select(
             "node", "n", "component", F.col("_hub.node").alias("_other"), F.col("_hub.n").alias("_m"), F.col("_hub.component").alias("_c")
         )
-        pairs, new = _tested(pairs, tried, whole, turn)
+        pairs, new = tested(pairs, tried, turn)
         if found is not None and pairs.isEmpty():
             break
         tried = pairs if tried is None else tried.unionAll(pairs)
@@ -267,18 +272,39 @@ def links(docs: DataFrame, listing: DataFrame, text: str = "text") -> DataFrame:
         split = of.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where("_lo <> _hi")
         of = land(of.join(split.select("key"), "key", "left_semi"), f"entries-{turn}")
     other = of.select("key", F.col("node").alias("_other"), F.col("n").alias("_m"), F.col("component").alias("_c"))
-    _, new = _tested(of.join(other, "key").where("node < _other"), tried, whole, HUB_ROUNDS)
+    _, new = tested(of.join(other, "key").where("node < _other"), tried, HUB_ROUNDS)
     return found.unionAll(new)
 
 
-def _tested(pairs: DataFrame, tried: DataFrame | None, whole: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs of unlike components that were not compared before, and those of them that are links."""
+def _new_pairs(pairs: DataFrame, tried: DataFrame | None, turn: int) -> DataFrame:
+    """(a, b, na, nb): pairs of unlike components, of sizes that fit, that were not compared before."""
     pairs = pairs.where((F.col("component") != F.col("_c")) & _fits("n", "_m"))
-    pairs = pairs.select(F.greatest("node", "_other").alias("a"), F.least("node", "_other").alias("b")).distinct()
+    first = F.col("node") > F.col("_other")
+    pairs = pairs.select(
+        F.greatest("node", "_other").alias("a"), F.least("node", "_other").alias("b"),
+        F.when(first, F.col("n")).otherwise(F.col("_m")).alias("na"), F.when(first, F.col("_m")).otherwise(F.col("n")).alias("nb"),
+    ).distinct()
     if tried is not None:
         pairs = pairs.join(tried, ["a", "b"], "left_anti")
-    pairs = land(pairs, f"pairs-{turn}")
-    return pairs, land(_verified(pairs, whole), f"links-{turn}")
+    return land(pairs, f"pairs-{turn}")
+
+
+def _near(pairs: DataFrame, lists: DataFrame) -> DataFrame:
+    """Pairs that share as many listed tokens as the similarity asks: sets listing ``k - 1`` tokens
+    more than their prefix have ``k`` of the tokens they share in both lists."""
+    a = lists.select(F.col("node").alias("a"), F.col("shared").alias("_sa"))
+    b = lists.select(F.col("node").alias("b"), F.col("shared").alias("_sb"))
+    spare = F.least(_listed("na") - _prefix("na"), _listed("nb") - _prefix("nb"))
+    met = pairs.join(a, "a").join(b, "b")
+    return met.where(F.size(F.array_intersect("_sa", "_sb")) > spare).select("a", "b")
+
+
+def _prefix(n: str) -> Column:
+    return F.col(n) - F.floor((PERCENT * F.col(n) + 99) / 100) + 1
+
+
+def _listed(n: str) -> Column:
+    return F.least(F.col(n), F.floor(SPARE * _prefix(n)) + 4)
 
 
 def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
