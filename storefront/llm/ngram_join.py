@@ -206,9 +206,9 @@ def _fits(n: str, m: str) -> Column:
     return (100 * F.col(n) >= PERCENT * F.col(m)) & (100 * F.col(m) >= PERCENT * F.col(n))
 
 
-def _lacking(hits: DataFrame) -> DataFrame:
-    """Nodes without a prefix of rare tokens among their listed ones."""
-    counted = hits.where("frequent").groupBy("node").agg(F.any_value("n").alias("n"), F.count("*").alias("_f"))
+def _lacking(marked: DataFrame) -> DataFrame:
+    """Nodes without a prefix of rare tokens among their listed ones; ``marked``: their frequent ones."""
+    counted = marked.groupBy("node").agg(F.any_value("n").alias("n"), F.count("*").alias("_f"))
     return counted.where(_listed("n") - F.col("_f") < _prefix("n")).select("node")
 
 
@@ -222,13 +222,13 @@ def index(docs: DataFrame, listing: DataFrame, text: str = "text") -> tuple[Data
     hits = land(near.join(shared, "token").distinct(), "listed-tokens")
 
     # sets short of rare tokens are read whole; their tokens may be frequent among them only
-    first = _whole_sets(docs, text, listing, _lacking(hits), "lacking")
+    first = _whole_sets(docs, text, listing, _lacking(hits.where("frequent")), "lacking")
     counted = first.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("_c"))
     frequent = counted.where(F.col("_c") > FREQUENT).select("token").unionAll(shared.where("frequent").select("token"))
     frequent = land(frequent.distinct(), "frequent-tokens")
-    renewed = hits.drop("frequent").join(frequent.withColumn("frequent", F.lit(True)), "token", "left")
-    hits = land(renewed.withColumn("frequent", F.coalesce("frequent", F.lit(False))), "listed-tokens")
-    more = _whole_sets(docs, text, listing, _lacking(hits).join(first, "node", "left_anti"), "lacking-more")
+    # also listed tokens that no other set lists can be frequent among the whole sets
+    marked = tokens.where(maybe_in(frequent, F.col("token"))).join(frequent, "token").distinct()
+    more = _whole_sets(docs, text, listing, _lacking(marked).join(first, "node", "left_anti"), "lacking-more")
     whole = first.unionAll(more)
 
     exploded = whole.select("node", F.explode("tokens").alias("token"))
@@ -238,7 +238,7 @@ def index(docs: DataFrame, listing: DataFrame, text: str = "text") -> tuple[Data
     # rare tokens of extended prefixes that stand in one list only
     keys = land(extended.select(F.col("key").alias("token")).distinct(), "extended-keys")
     others = tokens.where(maybe_in(keys, F.col("token"))).join(keys, "token", "left_semi").select(F.col("token").alias("key"), "node", "n")
-    singles = hits.where(~F.col("frequent")).select(F.col("token").alias("key"), "node", "n")
+    singles = hits.join(frequent, "token", "left_anti").select(F.col("token").alias("key"), "node", "n")
     entries = land(singles.unionAll(others).unionAll(extended).distinct(), "entries")
     live = entries.groupBy("key").agg(F.count("*").alias("_c")).where("_c > 1").select("key")
     lists = hits.groupBy("node").agg(F.collect_list("token").alias("shared"))
