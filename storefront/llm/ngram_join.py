@@ -134,14 +134,17 @@ def sets(docs: DataFrame, text: str = "text", whole: bool = False) -> DataFrame:
 
     def run(batches):
         for part in _slices(batches):
-            rows = []
-            for doc, t in zip(part["doc_id"], part["text"]):
-                found = shingle_set(t)
-                n = len(found)
-                low = found if whole else found[: listed(n)]
-                node = int(np.uint64(xxhash.xxh3_64_intdigest(found.tobytes())).view(np.int64)) if n else None
-                rows.append((doc, node, n, low))
-            yield pd.DataFrame(rows, columns=["doc_id", "node", "n", "tokens"]).astype({"node": "Int64", "doc_id": "Int64"})
+            found = [shingle_set(t) for t in part["text"]]
+            # NULLs must not turn the hashes of a batch into floating-point numbers
+            names = [int(np.uint64(xxhash.xxh3_64_intdigest(x.tobytes())).view(np.int64)) if len(x) else None for x in found]
+            yield pd.DataFrame(
+                {
+                    "doc_id": part["doc_id"].to_numpy(),
+                    "node": pd.array(names, dtype="Int64"),
+                    "n": [len(x) for x in found],
+                    "tokens": [x if whole else x[: listed(len(x))] for x in found],
+                }
+            ).astype({"doc_id": "Int64"})
 
     ship(docs.sparkSession)
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
