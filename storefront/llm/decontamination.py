@@ -23,13 +23,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storefront.llm.common import bind, land, row_key, words
+from storefront.llm.common import bind, land, maybe_in, row_key, words
 
 SHINGLE = 5
 THRESHOLD = 0.8
 RADIUS = 15
 BLOCKS, BLOCK_BITS = 4, 16
 MAX_BROADCAST_ROWS = 500_000
+WORDED = r"[^\x20\x09-\x0D]"
 
 
 def _lowered(text: str) -> Column:
@@ -92,14 +93,15 @@ def hamming_pairs(left: DataFrame, right: DataFrame, radius: int = RADIUS) -> Da
     of four blocks that differ in ``radius`` bits together one differs in no more.
     """
     near = radius // BLOCKS
-    masks = F.filter(F.sequence(F.lit(0), F.lit(2**BLOCK_BITS - 1)), lambda m: F.bit_count(m) <= near)
+    masks = F.lit([m for m in range(2**BLOCK_BITS) if m.bit_count() <= near])
     entered = right.withColumn("_masks", masks)
     blocks = F.array(*[F.struct(F.lit(j).alias("b"), _block(F.col("simhash"), j).alias("v")) for j in range(BLOCKS)])
     index = entered.withColumn("_x", F.explode(blocks)).withColumn("_m", F.explode("_masks")).select(
         *[F.col(c).alias(f"r_{c}") for c in right.columns], F.col("_x.b").alias("_b"), F.col("_x.v").bitwiseXOR(F.col("_m")).alias("_v")
     )
     probes = left.withColumn("_x", F.explode(blocks)).select(*left.columns, F.col("_x.b").alias("_b"), F.col("_x.v").alias("_v"))
-    met = probes.join(index, ["_b", "_v"])
+    # the index is far larger than the table it is made from, so its size is never guessed
+    met = probes.join(index.hint("merge"), ["_b", "_v"])
     differ = F.col("simhash").bitwiseXOR(F.col("r_simhash"))
     # a pair that meets in several blocks is taken in the first of them
     earlier = F.lit(False)
@@ -131,15 +133,17 @@ def contaminated(
     spots = items.select(F.size("w").alias("_size"), F.posexplode(F.transform(_starts(F.col("w")), lambda i: _shingle(F.col("w"), i))).alias("_q", "_h")).distinct()
     spots = land(spots, "item-shingles")
     bounded = spots.count() <= MAX_BROADCAST_ROWS
-    texts = docs.select(F.col("doc_id").alias("_doc"), row_key(text).alias("_key"), _lowered(text).alias("_w")).where(F.size("_w") > 0)
-    hashed = texts.select("_doc", "_key", F.size("_w").alias("_n"), F.posexplode(F.transform(_starts(F.col("_w")), lambda i: _shingle(F.col("_w"), i))).alias("_p", "_h"))
+    texts = docs.where(F.col(text).rlike(WORDED)).select(F.col("doc_id").alias("_doc"), row_key(text).alias("_key"), F.col(text).alias("_text"))
+    cut = texts.select("_doc", "_key", _lowered("_text").alias("_w")).select("*", F.size("_w").alias("_n"))
+    hashed = cut.select("_doc", "_key", "_n", F.posexplode(F.transform(_starts(F.col("_w")), lambda i: _shingle(F.col("_w"), i))).alias("_p", "_h"))
     hits = hashed.join(F.broadcast(spots) if bounded else spots, "_h")
     size = F.least("_size", "_n")
     first = F.greatest(F.lit(0), F.least(F.col("_p") - F.col("_q"), F.col("_n") - size))
     places = hits.select("_doc", "_key", first.alias("_first"), size.alias("_size")).distinct()
-    per_doc = places.groupBy("_doc", "_key").agg(F.collect_list(F.struct("_first", "_size")).alias("_places"))
-    held = texts.withColumnsRenamed({"_doc": "_d", "_key": "_k"})
+    per_doc = land(places.groupBy("_doc", "_key").agg(F.collect_list(F.struct("_first", "_size")).alias("_places")), "window-places")
+    held = texts.where(maybe_in(per_doc.select("_key"), F.col("_key"))).withColumnsRenamed({"_doc": "_d", "_key": "_k"})
     cut = per_doc.join(held, per_doc._doc.eqNullSafe(held._d) & (per_doc._key == held._k))
+    cut = cut.select("_doc", "_key", "_places", _lowered("_text").alias("_w"))
     cut = cut.select(
         "_doc", "_key",
         F.explode(F.transform("_places", lambda x: F.struct(
@@ -149,11 +153,14 @@ def contaminated(
     )
     windows = land(cut.select("_doc", "_key", F.col("_x.first").alias("_first"), F.col("_x.size").alias("_size"), F.col("_x.window").alias("_window"), F.md5("_x.window").alias("_id")), "windows")
     apart = windows.groupBy("_id").agg(F.any_value("_window").alias("_window"))
-    apart = fingerprints(apart.withColumn("_found", F.split("_window", " ")), "_found").select("_id", "shingles", "simhash")
-    entries = fingerprints(items, "w").select("item", "shingles", "simhash")
-    pairs = hamming_pairs(apart, entries, radius)
-    found = pairs.withColumn("similarity", _similarity(F.col("shingles"), F.col("r_shingles"))).where(F.col("similarity") >= threshold)
-    found = found.select("_id", F.col("r_item").alias("item_id"), "similarity")
+    apart = land(fingerprints(apart.withColumn("_found", F.split("_window", " ")), "_found").select("_id", "shingles", "simhash"), "window-prints")
+    named = items.select("item", "w", F.md5(F.array_join("w", " ")).alias("_entry"))
+    entries = land(fingerprints(named.select("_entry", "w").distinct(), "w").select("_entry", "shingles", "simhash"), "item-prints")
+    pairs = hamming_pairs(apart.select("_id", "simhash"), entries.select("_entry", "simhash"), radius)
+    pairs = pairs.select("_id", F.col("r__entry").alias("_entry"))
+    met = pairs.join(apart.select("_id", "shingles"), "_id").join(entries.select("_entry", F.col("shingles").alias("_wanted")), "_entry")
+    met = met.withColumn("similarity", _similarity(F.col("shingles"), F.col("_wanted"))).where(F.col("similarity") >= threshold)
+    found = met.join(named.select("item", "_entry"), "_entry").select("_id", F.col("item").alias("item_id"), "similarity")
     best = F.max_by(F.struct("similarity", F.col("_first").alias("first_word"), F.col("_size").alias("n_words")), F.struct("similarity", -F.col("_first"), -F.col("_size")))
     return (
         windows.drop("_window").join(found, "_id").groupBy("_doc", "_key", "item_id").agg(best.alias("_best"))
