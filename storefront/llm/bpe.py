@@ -20,8 +20,10 @@ as the library does; other columns pass through; an empty table gives an empty r
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -102,6 +104,8 @@ class ChunkEncoder:
     """Encodes texts chunk by chunk with the vocabulary in the file ``path``."""
 
     def __init__(self, path: str):
+        # a task has one core: the library's own threads would only cost more
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -115,14 +119,11 @@ class ChunkEncoder:
         found = data.split()
         known = self.words
         known.room()
-        fresh = [w for w in dict.fromkeys(found) if w not in known]
+        fresh = list(set(found).difference(known))
         if fresh:
             coded = self.tokenizer.encode_batch_fast([w.decode() for w in fresh], add_special_tokens=False)
             known.update(zip(fresh, (e.ids for e in coded)))
-        ids: list[int] = []
-        for w in found:
-            ids += known[w]
-        return ids
+        return list(chain.from_iterable(map(known.__getitem__, found)))
 
     def _chunk(self, data: bytes) -> tuple[int, int, list[int]]:
         """(end of the head, start of the tail, ids between); -1 where there is no white space."""
