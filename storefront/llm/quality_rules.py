@@ -12,7 +12,8 @@ documents' lines in a join that Spark may split.
 
 Cases: a NULL or empty text has no words and fails; a NULL host is a host of its own;
 repeated rows each get their row; extra columns are left alone (``apply_quality_rules``
-returns them); an empty table gives an empty result.
+returns them, also where they are called like a figure); a very long text is one row like
+any other; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storefront.llm.common import bind, row_key, words
+from storefront.llm.common import bind, land, row_key, words
 
 MIN_DOCS = 20
 MAX_SHARE = 0.02
@@ -159,8 +160,16 @@ def quality_rules(
 
 
 def apply_quality_rules(docs: DataFrame, **limits) -> DataFrame:
-    """The documents that are kept, without their template lines, with the columns of ``docs``."""
-    judged = quality_rules(docs, keep_text=True, **limits).where("kept")
+    """The documents that are kept, without their template lines, with the columns of ``docs``.
+
+    Other columns than doc_id, text and the host go under names of their own meanwhile.
+    The judged rows are landed before the rejected ones go: a filter on ``kept`` would be
+    moved ahead of the join, and the words computed again wherever the filter names them.
+    """
+    own = {"doc_id", "text", limits.get("host", "source")}
+    inner = {c: c if c in own else f"_x{i}" for i, c in enumerate(docs.columns)}
+    judged = quality_rules(docs.toDF(*inner.values()), keep_text=True, **limits)
+    judged = land(judged.select(*inner.values(), "removed", "kept"), "judged-documents").where("kept")
     rest = F.array_join(
         F.filter(
             F.split("text", "\n"),
@@ -170,6 +179,7 @@ def apply_quality_rules(docs: DataFrame, **limits) -> DataFrame:
     )
     cleaned = judged.withColumn("text", F.when(F.col("removed").isNull(), F.col("text")).otherwise(rest))
     if "n_chars" in docs.columns:
+        name = inner["n_chars"]
         changed = F.col("removed").isNotNull()
-        cleaned = cleaned.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return cleaned.select(*[F.col(f"`{c}`") for c in docs.columns])
+        cleaned = cleaned.withColumn(name, F.when(changed, F.length("text").cast("long")).otherwise(F.col(name)))
+    return cleaned.select(*[F.col(i).alias(c) for c, i in inner.items()])
