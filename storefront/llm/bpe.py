@@ -23,7 +23,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -88,16 +88,16 @@ def _last_space(data: bytes) -> int:
     return len(data) - len(word) if len(word) < len(data) else -1
 
 
-class _Store(dict):
-    """A dictionary that starts again when it holds ``limit`` entries."""
+class _Store:
+    """A plain dictionary, ``held``, whose older half is dropped when it has ``limit`` entries."""
 
     def __init__(self, limit: int):
-        super().__init__()
-        self.limit = limit
+        self.limit, self.held = limit, {}
 
     def room(self) -> None:
-        if len(self) >= self.limit:
-            self.clear()
+        if len(self.held) >= self.limit:
+            for key in list(islice(self.held, self.limit // 2)):
+                del self.held[key]
 
 
 class ChunkEncoder:
@@ -117,9 +117,9 @@ class ChunkEncoder:
     def _span(self, data: bytes) -> list[int]:
         """Ids of bytes that begin and end at white space or at an end of the text."""
         found = data.split()
-        known = self.words
-        known.room()
-        fresh = list(set(found).difference(known))
+        self.words.room()
+        known = self.words.held
+        fresh = [w for w in set(found) if w not in known]
         if fresh:
             coded = self.tokenizer.encode_batch_fast([w.decode() for w in fresh], add_special_tokens=False)
             known.update(zip(fresh, (e.ids for e in coded)))
@@ -127,12 +127,12 @@ class ChunkEncoder:
 
     def _chunk(self, data: bytes) -> tuple[int, int, list[int]]:
         """(end of the head, start of the tail, ids between); -1 where there is no white space."""
-        kept = self.chunks.get(data)
+        kept = self.chunks.held.get(data)
         if kept is None:
             head, tail = _first_space(data), _last_space(data)
             inner = self._span(data[head:tail]) if head >= 0 else []
             self.chunks.room()
-            kept = self.chunks[data] = (head, tail, inner)
+            kept = self.chunks.held[data] = (head, tail, inner)
             self.encoded_chunks += 1
         return kept
 
