@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storefront.llm.common import land, maybe_in, ship
+from storefront.llm.common import land, maybe_in, row_key, ship
 from storefront.llm.components import components
 
 SHINGLE = 5
@@ -130,7 +130,10 @@ def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def sets(docs: DataFrame, text: str = "text", whole: bool = False) -> DataFrame:
-    """(doc_id, node, n, tokens): the lowest tokens of each set, or the whole set."""
+    """(doc_id, key, node, n, tokens): the lowest tokens of each set, or the whole set.
+
+    ``key`` tells rows of one doc_id with unlike texts apart.
+    """
 
     def run(batches):
         for part in _slices(batches):
@@ -140,6 +143,7 @@ def sets(docs: DataFrame, text: str = "text", whole: bool = False) -> DataFrame:
             yield pd.DataFrame(
                 {
                     "doc_id": part["doc_id"].to_numpy(),
+                    "key": part["key"].to_numpy(),
                     "node": pd.array(names, dtype="Int64"),
                     "n": [len(x) for x in found],
                     "tokens": [x if whole else x[: listed(len(x))] for x in found],
@@ -147,8 +151,8 @@ def sets(docs: DataFrame, text: str = "text", whole: bool = False) -> DataFrame:
             ).astype({"doc_id": "Int64"})
 
     ship(docs.sparkSession)
-    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return picked.mapInPandas(run, "doc_id long, node long, n long, tokens array<long>")
+    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key(text).alias("key"), F.col(text).alias("text"))
+    return picked.mapInPandas(run, "doc_id long, key long, node long, n long, tokens array<long>")
 
 
 def listed(n: int) -> int:
@@ -186,11 +190,12 @@ def _entries(rows: DataFrame) -> DataFrame:
 
 
 def _whole_sets(docs: DataFrame, text: str, listing: DataFrame, nodes: DataFrame, label: str) -> DataFrame:
-    """(node, n, tokens) of the given nodes, each from the text of one document."""
+    """(node, n, tokens) of the given nodes, each from one text, found by its own key."""
     nodes = land(nodes, label)
     named = listing.where(maybe_in(nodes, F.col("node"))).join(nodes, "node", "left_semi")
-    named = land(named.groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct(), label)
-    picked = docs.where(maybe_in(named, F.col("doc_id"))).join(named, "doc_id", "left_semi")
+    named = land(named.groupBy("node").agg(F.min("key").alias("_key")).select("_key").distinct(), label)
+    texts = docs.select("doc_id", text, row_key(text).alias("_key"))
+    picked = texts.where(maybe_in(named, F.col("_key"))).join(named, "_key", "left_semi")
     found = sets(picked, text, whole=True).join(nodes, "node", "left_semi")
     return land(found.groupBy("node").agg(F.any_value("n").alias("n"), F.any_value("tokens").alias("tokens")), label)
 
@@ -311,20 +316,20 @@ def _listed(n: str) -> Column:
 
 
 def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, and n_links, the sets that
+    """One row per row of ``docs``: doc_id, key (see ``sets``), n_shingles, component_id, and n_links, the sets that
     were found similar to the row's (those that were compared: once two sets are in one
     component they need not be)."""
     listing = land(sets(docs, text), "shingle-lists")
     found = links(docs, listing, text)
     joined = components(found)
     # names of components: the least doc_id of all rows in them
-    rows = listing.select("doc_id", "node", F.col("n").alias("n_shingles")).join(joined, "node", "left")
+    rows = listing.select("doc_id", "key", "node", F.col("n").alias("n_shingles")).join(joined, "node", "left")
     rows = rows.withColumn("_group", F.coalesce("component", "node"))
     names = rows.where("_group IS NOT NULL").groupBy("_group").agg(F.min("doc_id").alias("_name"))
     degree = found.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     named = rows.join(names, "_group", "left").join(degree, "node", "left")
     return named.select(
-        "doc_id", "n_shingles", F.coalesce("_name", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")
+        "doc_id", "key", "n_shingles", F.coalesce("_name", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")
     )
 
 
@@ -333,6 +338,6 @@ def apply_near_duplicates(docs: DataFrame) -> DataFrame:
 
     Rows without a doc_id stay. Rows repeated whole stay together or go together.
     """
-    gone = near_duplicates(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, docs.doc_id == gone._gone, "left_anti")
+    gone = near_duplicates(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"), F.col("key").alias("_text")).distinct()
+    kept = docs.join(gone, (docs.doc_id == gone._gone) & (row_key() == gone._text), "left_anti")
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
