@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+import storefront.llm.structure_queries  # noqa: F401
 from storefront.llm import (
     bpe,
     decontamination,
