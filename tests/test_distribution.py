@@ -112,10 +112,43 @@ def test_whisker_never_ends_inside_the_box(spark):
     assert r.whisker_high >= r.q75 and r.whisker_low <= r.q25
 
 
-def test_describe_scans_twice(spark, tmp_path):
-    path = str(tmp_path / "t")
-    spark.range(50_000).select((F.col("id") % 977 * 1.5).alias("v")).write.parquet(path)
-    df = distribution.describe(spark.read.parquet(path), ["v"])
+def _scans(df):
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert plan.count("FileScan") == 2
+    return plan.count("FileScan")
+
+
+def test_describe_and_box_plot_scan_twice(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(50_000).select((F.col("id") % 977 * 1.5).alias("v"), F.col("id").alias("w")).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert _scans(distribution.describe(df, ["v", "w"])) == 2
+    assert _scans(distribution.box_plot(df, "w")) == 2
+
+
+def test_one_outlier_does_not_widen_what_is_ordered(spark):
+    n = 120_000
+    df = spark.range(n).select(F.expr("CASE WHEN id = 7 THEN 1e300 ELSE 1e-9 * (id * 7919 % 120000) END").alias("v"))
+    summary = distribution._summary(df, ["v"], distribution.QUARTILES)
+    counted = distribution._counted(df, ["v"], summary, 3)
+    in_parts = distribution._in_parts(counted, summary, distribution.QUARTILES)
+    bracket = 2 * (distribution._MARGINS[0] + 1 / distribution._ACCURACY) * n
+    assert all(r["count"] <= bracket + 2 for r in in_parts.groupBy("quantile").count().collect())
+    ordered = distribution._to_order(in_parts).groupBy("quantile", "part").count().collect()
+    assert len(ordered) >= 3
+    # a part has a hundredth of the distinct values, and the sketch's error on either side
+    assert all(r["count"] <= bracket / distribution._PARTS * 1.5 + 2 for r in ordered)
+    r = distribution.quantiles(df, ["v"]).first()
+    values = np.array([1e300 if i == 7 else 1e-9 * (i * 7919 % 120_000) for i in range(n)])
+    assert [r.q25, r.q50, r.q75] == pytest.approx(np.quantile(values, [0.25, 0.5, 0.75]), rel=1e-12)
+
+
+@pytest.mark.parametrize("n", [50, 51, 52, 6_666, 6_667, 6_668, 30_000])
+def test_quantiles_around_the_margins(spark, n):
+    rng = np.random.default_rng(n)
+    values = np.where(rng.random(n) < 0.3, 2.5, np.round(rng.standard_cauchy(n), 2))
+    df = spark.createDataFrame(pd.DataFrame({"v": values})).repartition(6)
+    wanted = {"p0": 0.0, "p1": 0.01, "p25": 0.25, "p50": 0.5, "p99": 0.99, "p100": 1.0}
+    r = distribution.quantiles(df, ["v"], wanted).first()
+    assert [r[k] for k in wanted] == pytest.approx(np.quantile(values, list(wanted.values())), rel=1e-12)
+    assert tuple(distribution.box_plot(df, "v").first()) == pytest.approx(_box(values))
