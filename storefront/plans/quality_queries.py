@@ -11,7 +11,6 @@ from storefront.operators import changes, joins, quality
 from storefront.plans.registry import query
 from storefront.plans.shop_queries import RECENT
 from storefront.schemas import ForeignKey, TableRules
-from storefront.session import land
 from storefront.sources.tables import load
 
 CUSTOMER = TableRules(
@@ -32,7 +31,11 @@ ORDERS = TableRules(
     primary_key=("o_orderkey",),
     not_null=("o_custkey", "o_orderdate", "o_orderstatus"),
     checks={"status_known": "o_orderstatus IN ('F', 'O')"},
-    foreign_keys=(ForeignKey(("o_custkey",), "building_customer", ("c_custkey",)),),
+    foreign_keys=(
+        ForeignKey(
+            ("o_custkey",), "customer", ("c_custkey",), where="c_mktsegment = 'BUILDING'", named="o_custkey_to_building_customer"
+        ),
+    ),
 )
 LINEITEM = TableRules(
     name="lineitem",
@@ -111,8 +114,7 @@ _ORPHANS_SQL = """SELECT o_custkey, count(*) AS n_rows FROM orders WHERE o_custk
 
 @query("fk_violations", _ORPHANS_SQL)
 def fk_violations(spark, folder):
-    builders = load(spark, folder, "customer").where("c_mktsegment = 'BUILDING'")
-    return quality.orphans(load(spark, folder, "orders"), ORDERS.foreign_keys[0], builders)
+    return quality.orphans(load(spark, folder, "orders"), ORDERS.foreign_keys[0], load(spark, folder, "customer"))
 
 
 def _part_sql(table: str, name: str, kind: str, key: str, body: str) -> str:
@@ -141,9 +143,7 @@ _REPORT_SQL = " UNION ALL ".join(
 
 @query("violation_report", _REPORT_SQL)
 def violation_report(spark, folder):
-    tables = {name: load(spark, folder, name) for name in REPORTED}
-    tables["building_customer"] = tables["customer"].where("c_mktsegment = 'BUILDING'")
-    return quality.violation_report(tables, REPORTED)
+    return quality.violation_report({name: load(spark, folder, name) for name in REPORTED}, REPORTED)
 
 
 def _by_age(spark, folder):
@@ -193,30 +193,29 @@ def stock_update(spark, folder):
 
 
 def _recent_batch(spark, folder, merge_lines: bool):
-    """Recent orders, recently shipped lines and their stock changes, on top of the older ones.
+    """Recent orders with their lines and stock changes, on top of the older ones.
 
-    Merged, each line key occurs once and the batch keeps all rules; as is, line keys repeat.
+    Lines go with their order, so the older ones are the table as it is. Merged, each line key
+    of the batch occurs once and the batch keeps all rules; as is, line keys repeat.
     """
     old_orders, new_orders = _by_age(spark, folder)
     lines = load(spark, folder, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("bigint").alias("l_quantity"),
         "l_discount", "l_shipdate",
     )
+    new = new_orders.select(F.col("o_orderkey").alias("l_orderkey"))
+    new_lines = lines.join(new, "l_orderkey", "left_semi")
     if merge_lines:
-        merged = lines.groupBy("l_orderkey", "l_linenumber").agg(
+        new_lines = new_lines.groupBy("l_orderkey", "l_linenumber").agg(
             F.sum("l_quantity").alias("l_quantity"),
             *[F.min(c).alias(c) for c in ("l_partkey", "l_discount", "l_shipdate")],
         )
-        # Old and new lines are both read from this table, more than once.
-        lines = land(merged, "merged-lines")
-    recent = F.col("l_shipdate") >= F.lit(RECENT)
-    new_lines = lines.where(recent)
     taken = new_lines.select(F.col("l_partkey").alias("p_partkey"), F.col("l_quantity").alias("quantity"))
     existing = {
         "customer": load(spark, folder, "customer"),
         "part": _stocked_parts(spark, folder),
         "orders": old_orders,
-        "lineitem": lines.where(~recent),
+        "lineitem": lines.join(new, "l_orderkey", "left_anti"),
     }
     batch = {"orders": new_orders, "lineitem": new_lines}
     update = changes.StockUpdate("part", taken, "p_partkey", "stock", "quantity")
@@ -242,11 +241,13 @@ def _state_summary(result: changes.BatchResult) -> DataFrame:
 
 # Of the rules, only the stock can fail once repeated line keys are merged.
 _LINES_SQL = """WITH lines AS (
-  SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey, sum(CAST(l_quantity AS BIGINT)) AS l_quantity,
-    min(l_shipdate) AS l_shipdate
-  FROM lineitem GROUP BY l_orderkey, l_linenumber),
+  SELECT lineitem.*, CAST(l_quantity AS BIGINT) AS quantity, o_orderkey IS NOT NULL AS is_new
+  FROM lineitem LEFT JOIN (SELECT o_orderkey FROM orders WHERE o_orderdate >= DATE '2001-01-01') AS o ON l_orderkey = o_orderkey),
+new_lines AS (
+  SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey, sum(quantity) AS quantity
+  FROM lines WHERE is_new GROUP BY l_orderkey, l_linenumber),
 taken AS (
-  SELECT l_partkey, sum(l_quantity) AS taken FROM lines WHERE l_shipdate >= DATE '2001-01-01' GROUP BY l_partkey),
+  SELECT l_partkey, sum(quantity) AS taken FROM new_lines GROUP BY l_partkey),
 verdict AS (
   SELECT count(*) = 0 AS accepted FROM part JOIN taken ON p_partkey = l_partkey WHERE p_size * 1000 - taken < 0),
 stocked AS (
@@ -263,8 +264,9 @@ stocked AS (
       SELECT 'part' AS table_name, count(*) AS n_rows, CAST(sum(stock) AS BIGINT) AS total FROM stocked
       UNION ALL SELECT 'orders', count(*), CAST(sum(o_orderkey) AS BIGINT)
         FROM orders CROSS JOIN verdict WHERE accepted OR o_orderdate < DATE '2001-01-01'
-      UNION ALL SELECT 'lineitem', count(*), CAST(sum(l_quantity) AS BIGINT)
-        FROM lines CROSS JOIN verdict WHERE accepted OR l_shipdate < DATE '2001-01-01') AS t
+      UNION ALL SELECT 'lineitem', count(*), CAST(sum(quantity) AS BIGINT)
+        FROM (SELECT quantity FROM lines WHERE NOT is_new
+          UNION ALL SELECT quantity FROM new_lines CROSS JOIN verdict WHERE accepted)) AS t
     CROSS JOIN verdict""",
 )
 def batch_accepted(spark, folder):
@@ -278,12 +280,12 @@ def batch_accepted_stock(spark, folder):
 
 @query(
     "batch_rejected",
-    """SELECT 'part' AS table_name, count(*) AS n_rows, CAST(sum(p_size * 1000) AS BIGINT) AS total,
+    _LINES_SQL
+    + """SELECT 'part' AS table_name, count(*) AS n_rows, CAST(sum(p_size * 1000) AS BIGINT) AS total,
       FALSE AS accepted FROM part
     UNION ALL SELECT 'orders', count(*), CAST(sum(o_orderkey) AS BIGINT), FALSE
       FROM orders WHERE o_orderdate < DATE '2001-01-01'
-    UNION ALL SELECT 'lineitem', count(*), CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT), FALSE
-      FROM lineitem WHERE l_shipdate < DATE '2001-01-01'""",
+    UNION ALL SELECT 'lineitem', count(*), CAST(sum(quantity) AS BIGINT), FALSE FROM lines WHERE NOT is_new""",
 )
 def batch_rejected(spark, folder):
     return _state_summary(_applied(spark, folder, merge_lines=False))
@@ -291,15 +293,14 @@ def batch_rejected(spark, folder):
 
 @query(
     "batch_violations",
-    """SELECT 'lineitem' AS table_name, 'primary_key' AS constraint_name, 'primary_key' AS kind,
-      CAST(l_orderkey || '|' || l_linenumber AS VARCHAR) AS "key",
-      count(CASE WHEN l_shipdate >= DATE '2001-01-01' THEN 1 END) AS n_rows
-    FROM lineitem GROUP BY l_orderkey, l_linenumber
-    HAVING count(*) > 1 AND count(CASE WHEN l_shipdate >= DATE '2001-01-01' THEN 1 END) > 0
+    _LINES_SQL
+    + """SELECT 'lineitem' AS table_name, 'primary_key' AS constraint_name, 'primary_key' AS kind,
+      CAST(l_orderkey || '|' || l_linenumber AS VARCHAR) AS "key", count(*) AS n_rows
+    FROM lines WHERE is_new GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
     UNION ALL SELECT 'part', 'stock_not_negative', 'check', CAST(p_partkey AS VARCHAR), 1
-    FROM part JOIN (SELECT l_partkey, sum(CAST(l_quantity AS BIGINT)) AS taken FROM lineitem
-      WHERE l_shipdate >= DATE '2001-01-01' GROUP BY l_partkey) AS t ON p_partkey = l_partkey
-    WHERE p_size * 1000 - taken < 0""",
+    FROM part JOIN (SELECT l_partkey, sum(quantity) AS taken FROM lines WHERE is_new GROUP BY l_partkey) AS t
+      ON p_partkey = l_partkey
+    WHERE p_size * 1000 - t.taken < 0""",
 )
 def batch_violations(spark, folder):
     return changes.batch_violations(*_recent_batch(spark, folder, merge_lines=False))

@@ -7,11 +7,21 @@ from dataclasses import dataclass, field
 
 @dataclass(frozen=True)
 class ForeignKey:
-    """Columns of a table whose values must occur as keys of a parent table."""
+    """Columns of a table whose values must occur as keys of a parent table.
+
+    ``where`` (a SQL predicate) says which rows of the parent count, ``named`` what the
+    constraint is called in place of the default.
+    """
 
     columns: tuple[str, ...]
     parent: str
     parent_columns: tuple[str, ...]
+    where: str | None = None
+    named: str | None = None
+
+    @property
+    def name(self) -> str:
+        return self.named or f"{'_'.join(self.columns)}_to_{self.parent}"
 
 
 @dataclass(frozen=True)

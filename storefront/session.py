@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
+import tempfile
 import uuid
+from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def local_session(cores: str | int = "*", app: str = "storefront") -> SparkSession:
@@ -24,13 +29,23 @@ def local_session(cores: str | int = "*", app: str = "storefront") -> SparkSessi
 def shared_folder(spark: SparkSession) -> str:
     """The folder that every executor reaches, for what several jobs read.
 
-    Named by ``spark.checkpoint.dir``, else the folder given to ``setCheckpointDir``, else
-    a folder in the warehouse: one rule for every kind of session.
+    Named by ``spark.checkpoint.dir``, else the folder given to ``setCheckpointDir``. Only a
+    session on one machine may do without: executors of a cluster would each write to a disk
+    of their own, and later reads would miss rows.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="storefront-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -38,12 +53,33 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def drop_at_end(spark: SparkSession, path: str) -> None:
+    """Have a scratch folder deleted when the driver ends."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(place)
+
+
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that nothing reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+
+
 def land(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
     For rows that several jobs read: they are computed once, all readers see the same, and
-    a lost executor takes nothing with it.
+    a lost executor takes nothing with it. The folder goes when the driver ends.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return land_observed(df, label)[0]
+
+
+def land_observed(df: DataFrame, label: str, **figures: Column) -> tuple[DataFrame, dict[str, int], str]:
+    """The landed table, aggregates that its write counted on the way, and its folder."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    seen = Observation()
+    watched = df.observe(seen, *[f.alias(name) for name, f in figures.items()]) if figures else df
+    watched.write.parquet(path)
+    drop_at_end(spark, path)
+    return spark.read.schema(df.schema).parquet(path), dict(seen.get) if figures else {}, path

@@ -1,11 +1,13 @@
 import datetime as dt
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from storefront.operators import changes, quality
-from storefront.schemas import CUSTOMERS, SHOP
+from storefront.schemas import CUSTOMERS, SHOP, ForeignKey, TableRules
+from storefront.sources.tables import write_state
 
 DAY = dt.date(2024, 5, 1)
 
@@ -176,3 +178,89 @@ def test_batch_email_clash_with_existing_rows(spark, shop):
     }
     result = changes.apply_batch(shop, batch, SHOP)
     assert [tuple(r) for r in result.violations.collect()] == [("customers", "email_unique", "unique", "ana@x", 1)]
+
+
+def _final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def test_report_reads_each_table_once_and_shuffles_once(spark, shop, tmp_path):
+    stored = {}
+    for name, df in shop.items():
+        df.write.parquet(f"{tmp_path}/{name}")
+        stored[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    plan = _final_plan(quality.violation_report(stored, SHOP))
+    assert plan.count("FileScan") == len(SHOP)
+    assert plan.count("Exchange ") == 1 and "Join" not in plan
+
+
+def test_report_keeps_typed_keys_apart(spark, rows):
+    parent = TableRules("parent", primary_key=("a", "b"), schema="a STRING, b STRING")
+    child = TableRules(
+        "child", primary_key=("id",), foreign_keys=(ForeignKey(("x", "y"), "parent", ("a", "b")), ForeignKey(("n",), "number", ("n",), "ok"))
+    )
+    number = TableRules("number", primary_key=("n",))
+    tables = {
+        "parent": spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("NULL", "z"), (None, "z"), ("p\\", "q"), ("p", "\\q")], "a STRING, b STRING"),
+        "child": spark.createDataFrame(
+            [(1, "a|b", "c", 1), (2, "a", "b|c", 2), (3, "NULL", "z", 3), (4, None, "z", None), (5, "a", "b", 1), (5, "a", "b", 1)],
+            "id INT, x STRING, y STRING, n INT",
+        ),
+        # the same numbers in another type; a row that does not count is no parent
+        "number": spark.createDataFrame([(1.0, True), (2.0, False), (-0.0, True), (0.0, True), (9.0, None)], "n DOUBLE, ok BOOLEAN"),
+    }
+    got = rows(quality.violation_report(tables, {"parent": parent, "child": child, "number": number}))
+    assert got == sorted(
+        [
+            ("parent", "primary_key", "primary_key", "NULL|z", 1),
+            ("child", "primary_key", "primary_key", "5", 2),
+            ("child", "x_y_to_parent", "foreign_key", "a|b", 2),
+            ("child", "n_to_number", "foreign_key", "2.0", 1),
+            ("child", "n_to_number", "foreign_key", "3.0", 1),
+            ("number", "primary_key", "primary_key", "0.0", 2),
+        ],
+        key=repr,
+    )
+    texts = {r[0] for r in tables["parent"].select(quality.key_text(["a", "b"])).collect()}
+    assert len(texts) == 6 and {"a\\|b|c", "a|b\\|c", "\\NULL|z", "NULL|z"} <= texts
+
+
+def test_orphans_in_one_aggregation(spark, rows):
+    child = spark.createDataFrame([(1,), (1,), (2,), (None,), (3,)], "k INT")
+    parent = spark.createDataFrame([(1, "x")] * 50 + [(3, "y"), (None, "x")], "id BIGINT, kind STRING")
+    link = ForeignKey(("k",), "parent", ("id",), where="kind = 'x'")
+    found = quality.orphans(child, link, parent)
+    assert rows(found) == [(2, 1), (3, 1)] and found.schema["k"].dataType.simpleString() == "int"
+    assert "Join" not in _final_plan(found)
+
+
+def test_verdict_comes_from_the_writes(spark, shop, tmp_path):
+    batch, stock = _batch(spark)
+    result = changes.apply_batch(shop, batch, SHOP, stock)
+    assert "Scan" not in _final_plan(result.verdict).replace("Range", "")
+    assert len(result.scratch) == 4  # the two tables, the stock changes, the violations: nothing of the base
+    folders = [Path(p.removeprefix("file:")) for p in result.scratch]
+    assert all(f.exists() for f in folders)
+    write_state(result.tables, f"{tmp_path}/next")
+    result.remove_scratch()
+    assert not any(f.exists() for f in folders)
+    refused, stock = _batch(spark, customer=999)
+    result = changes.apply_batch(shop, refused, SHOP, stock)
+    assert all(result.tables[n] is shop[n] for n in shop)
+
+
+@pytest.mark.parametrize("durable", [True, False])
+def test_change_without_quantity_is_refused(spark, shop, durable):
+    batch, stock = _batch(spark, taken=[(10, 1), (10, None)])
+    result = changes.apply_batch(shop, batch, SHOP, stock, durable=durable)
+    assert result.verdict.first().accepted is False
+    assert [tuple(r) for r in result.violations.collect()] == [("products", "quantity_not_null", "not_null", "10", 1)]
+    with pytest.raises(Exception, match="without quantity"):
+        changes.subtract_stock(shop["products"], stock.changes).collect()
+
+
+def test_stock_columns_may_be_called_taken(spark):
+    products = spark.createDataFrame([(1, 5, "x")], "product_id INT, stock_qty INT, taken STRING")
+    sold = spark.createDataFrame([(1, 2, "y")], "product_id INT, quantity INT, _taken STRING")
+    assert [tuple(r) for r in changes.subtract_stock(products, sold).collect()] == [(1, 3, "x")]

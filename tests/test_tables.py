@@ -93,16 +93,16 @@ def test_land_reads_back_the_same(spark):
 
 def _session(folder, master):
     """As much of a session as the choice of a folder needs."""
-    return SimpleNamespace(
-        conf=SimpleNamespace(get=lambda key, default: folder), sparkContext=SimpleNamespace(master=master)
-    )
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: folder), sparkContext=context)
 
 
 def test_scratch_lies_in_the_folder_the_session_names():
     assert scratch_path(_session("hdfs://shared/", "yarn"), "x").startswith("hdfs://shared/x-")
     assert shared_folder(_session(None, "local[2]")) == shared_folder(_session(None, "local[2]"))
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(_session(None, "yarn"))
+    for master in ("yarn", "local-cluster[3,2,1000]", "spark://head:7077"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(_session(None, master))
 
 
 def test_shape_profile_and_counts(spark):
