@@ -8,15 +8,20 @@ from pyspark.sql import functions as F
 
 def present(column: Column) -> Column:
     """The floating-point value, or NULL when it is NaN."""
-    return F.nullif(column, F.lit(float("nan")))
+    return F.nanvl(column, F.lit(None))
+
+
+# A number in digits, or one of the words for what is no finite number.
+_NUMBER = r"(?i)^\s*[+-]?(([0-9]+[.]?[0-9]*|[.][0-9]+)(e[+-]?[0-9]+)?|nan|inf|infinity)\s*$"
 
 
 def number_text(text: Column) -> Column:
-    """The text, spoiled where a type letter follows the number, as in ``12d``.
+    """The text, spoiled unless it is a number written in digits.
 
-    Java reads such a text as a number; a product code must not turn into one.
+    Java also reads ``12d``, ``0x1p3`` and the like; a product code must not turn into a
+    number.
     """
-    return F.regexp_replace(text, r"([0-9.][dDfF])(\s*)$", "$1?$2")
+    return F.when(text.rlike(_NUMBER), text).otherwise(F.concat(text, F.lit("?")))
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
@@ -25,5 +30,5 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     if not floating:
         return df
     return df.select(
-        *[present(F.col(c)).alias(c) if c in floating else F.col(c) for c in df.columns]
+        *[present(F.col(f"`{c}`")).alias(c) if c in floating else F.col(f"`{c}`") for c in df.columns]
     )

@@ -12,13 +12,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storefront.functions.bands import RATING_EDGES, RATING_LABELS, range_label
+from storefront.functions.missing import nan_to_null
 from storefront.functions.money import mean
 
 
 def top_k_by_mean(df: DataFrame, key: str, measure: str | Column, k: int = 10, name: str = "mean") -> DataFrame:
     """The ``k`` groups with the highest mean, ties by key; rows without a key are left out."""
     return (
-        df.where(F.col(key).isNotNull())
+        nan_to_null(df).where(F.col(key).isNotNull())
         .groupBy(key)
         .agg(mean(measure).alias(name))
         .orderBy(F.desc_nulls_last(name), F.asc(key))
@@ -69,7 +70,7 @@ def mean_by_band(
     The labels are few and known, so this is one global aggregate without a shuffle
     by key: one conditional mean per label, turned into rows at the end.
     """
-    banded = df.select(range_label(column, edges, labels).alias("band"), F.col(measure).alias("measure"))
+    banded = nan_to_null(df).select(range_label(column, edges, labels).alias("band"), F.col(measure).alias("measure"))
     wide = banded.agg(
         *[mean(F.when(F.col("band") == label, F.col("measure"))).alias(f"m{i}") for i, label in enumerate(labels)]
     )

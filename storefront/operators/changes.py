@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass, replace
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from storefront.operators import quality
 from storefront.schemas import TableRules
 from storefront.session import land_observed, remove_scratch
+from storefront.sources.tables import run_sql
 
 
 def with_defaults(batch: DataFrame, like: DataFrame, defaults: Mapping[str, str]) -> DataFrame:
@@ -37,6 +39,12 @@ def with_defaults(batch: DataFrame, like: DataFrame, defaults: Mapping[str, str]
     return batch.select(*columns)
 
 
+def dated(batch: DataFrame, column: str, day: date | None = None) -> DataFrame:
+    """The batch with the day it comes in: ``day``, bound as a parameter, else the current date."""
+    text = f"SELECT *, coalesce(CAST(:day AS DATE), current_date()) AS `{column}` FROM {{batch}}"
+    return run_sql(batch.sparkSession, text, {"batch": batch.drop(column)}, {"day": day})
+
+
 def append_rows(existing: DataFrame, batch: DataFrame, defaults: Mapping[str, str] | None = None) -> DataFrame:
     """The table with the rows of the batch added, defaults filled in."""
     return existing.unionByName(with_defaults(batch, existing, defaults or {}))

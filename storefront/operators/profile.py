@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storefront.functions.missing import present
+from storefront.functions.missing import nan_to_null, present
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -69,7 +69,7 @@ def missing_counts(df: DataFrame) -> DataFrame:
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """How often each value occurs, most frequent first; missing values do not count."""
     return (
-        df.where(F.col(column).isNotNull())
+        nan_to_null(df).where(F.col(column).isNotNull())
         .groupBy(column)
         .agg(F.count("*").alias("n_rows"))
         .orderBy(F.desc("n_rows"), F.asc(column))

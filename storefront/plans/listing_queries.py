@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storefront.functions.bands import RATING_LABELS, range_label
+from storefront.functions.missing import nan_to_null
 from storefront.functions.money import parse_currency
 from storefront.operators import aggregate, clean, derive, distribution, profile, stats
 from storefront.plans.listing import LISTING_SQL, clean_listing, featured_listing, listing
@@ -30,8 +31,10 @@ def shape(spark, folder):
 PROFILED = {
     "product_id": "bigint", "title": "string", "category": "string", "rating": "decimal(4,2)",
     "ratings_count": "bigint", "initial_price": "decimal(12,2)", "final_price": "decimal(12,2)",
-    "discount": "double", "seller_name": "string",
+    "final_price_raw": "string", "discount": "double", "seller_name": "string",
 }
+# The SQL has the price text only as the number that it is made from.
+_IN_SQL = {"final_price_raw": "final_price"}
 
 
 @query(
@@ -39,12 +42,12 @@ PROFILED = {
     LISTING_SQL
     + " UNION ALL ".join(
         f"SELECT {i} AS position, '{c}' AS column_name, '{dtype}' AS dtype, "
-        f"count({c}) AS non_null, count(*) - count({c}) AS missing FROM listing"
+        f"count({_IN_SQL.get(c, c)}) AS non_null, count(*) - count({_IN_SQL.get(c, c)}) AS missing FROM listing"
         for i, (c, dtype) in enumerate(PROFILED.items())
     ),
 )
 def column_profile(spark, folder):
-    return profile.column_profile(listing(spark, folder).select(*PROFILED))
+    return profile.column_profile(listing(spark, folder))
 
 
 def _describe_sql(*columns: str) -> str:
@@ -301,3 +304,23 @@ def cleaned_listing(spark, folder):
     raw = _doubles(raw, "rating", "initial_price")
     featured = featured_listing(clean_listing(raw, texts=("seller_name",)))
     return _rounded(featured, 2, "price_difference")
+
+
+@query(
+    "nan_stats",
+    LISTING_SQL
+    + """, rated AS (SELECT category, nullif(CAST(rating AS DOUBLE), 0) AS rating, CAST(final_price AS DOUBLE) AS price FROM listing)
+    SELECT category, n_rated, mean, corr FROM (
+      SELECT category, count(rating) AS n_rated, round(avg(rating), 6) AS mean FROM rated GROUP BY category ORDER BY avg(rating) DESC, category LIMIT 10)
+    CROSS JOIN (SELECT round(corr(rating, price), 6) AS corr FROM rated)""",
+)
+def nan_stats(spark, folder):
+    """Zero ratings as NaN, as a data frame library leaves them: no figure may take them in."""
+    rating = F.col("rating").cast("double")
+    rated = listing(spark, folder).select(
+        "category", F.when(rating == 0, float("nan")).otherwise(rating).alias("rating"), F.col("final_price").cast("double").alias("price")
+    )
+    best = aggregate.top_k_by_mean(rated, "category", "rating")
+    counts = nan_to_null(rated).groupBy("category").agg(F.count("rating").alias("n_rated"))
+    corr = stats.correlation(rated, "rating", "price").scalar()
+    return _rounded(best.join(counts, "category").withColumn("corr", corr), 6, "mean", "corr")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -89,13 +90,12 @@ def unique_violations(spark, folder):
     " UNION ALL ".join(
         f"""SELECT * FROM (SELECT '{c}' AS column_name, count(*) - count({c}) AS n_rows
         FROM documents LEFT JOIN labels USING (doc_id)) AS c_{c} WHERE n_rows > 0"""
-        for c in ("doc_id", "lang", "quality", "toxic")
+        for c in ("doc_id", "text", "lang", "source", "n_chars", "quality", "toxic")
     ),
 )
 def notnull_violations(spark, folder):
-    documents = load(spark, folder, "documents").select("doc_id", "lang")
-    covered = joins.outer_join(documents, load(spark, folder, "labels"), "doc_id", "left")
-    return quality.not_null_violations(covered, ["doc_id", "lang", "quality", "toxic"])
+    covered = joins.outer_join(load(spark, folder, "documents"), load(spark, folder, "labels"), "doc_id", "left")
+    return quality.not_null_violations(covered, covered.columns)
 
 
 @query("check_violations", "SELECT * FROM customer WHERE NOT coalesce(c_acctbal >= 0, TRUE)")
@@ -164,6 +164,21 @@ def insert_defaults(spark, folder):
     return changes.with_defaults(new.drop("o_orderstatus", "o_orderpriority"), old, {"o_orderstatus": "'P'"})
 
 
+# The day on which the batch of ``insert_on_day`` comes in; without one it is the current date.
+ENTRY_DAY = date(2002, 1, 31)
+
+
+@query(
+    "insert_on_day",
+    """SELECT * REPLACE (CASE WHEN o_orderdate >= DATE '2001-01-01' THEN TIMESTAMP '2002-01-31 00:00:00' ELSE o_orderdate END
+      AS o_orderdate) FROM orders""",
+)
+def insert_on_day(spark, folder):
+    """Recent orders come in anew, dated by a bound parameter."""
+    old, new = _by_age(spark, folder)
+    return changes.append_rows(old, changes.dated(new, "o_orderdate", ENTRY_DAY))
+
+
 @query(
     "append_rows",
     """SELECT o_orderkey, o_custkey, CASE WHEN o_orderdate >= DATE '2001-01-01' THEN 'P' ELSE o_orderstatus END

@@ -11,8 +11,9 @@ from storefront.functions.dates import between_days, in_year, on_day
 from storefront.functions.money import mean, money
 from storefront.operators import aggregate, clean, joins, profile
 from storefront.plans.registry import query
-from storefront.session import scratch_path
-from storefront.sources.csv import read_csv, write_csv
+from storefront.schemas import SHOP
+from storefront.session import drop_at_end, scratch_path
+from storefront.sources.csv import accepted, read_csv, rejected, typed_rows, write_csv
 from storefront.sources.tables import literal_rows, load, run_sql
 
 SHOP_TABLES = ("customer", "part", "orders", "lineitem")
@@ -25,9 +26,55 @@ def csv_roundtrip(spark, folder):
     part = load(spark, folder, "part")
     path = scratch_path(spark, "part-csv")
     write_csv(part, path)
+    drop_at_end(spark, path)
     return read_csv(spark, path, part.schema)
 
 
+@query("csv_inferred", "SELECT * REPLACE (CAST(p_size AS BIGINT) AS p_size) FROM part")
+def csv_inferred(spark, folder):
+    """The same without a schema: the types are found in the texts."""
+    path = scratch_path(spark, "part-csv")
+    write_csv(load(spark, folder, "part"), path)
+    drop_at_end(spark, path)
+    return read_csv(spark, path)
+
+
+def _raw_orders(spark, folder):
+    """Orders as texts under the names of the shop table, with some that cannot be read."""
+    status, price = F.col("o_orderstatus"), F.col("o_totalprice").cast("decimal(12,2)").cast("string")
+    return load(spark, folder, "orders").select(
+        F.col("o_orderkey").cast("string").alias("order_id"),
+        F.when(status == "P", F.concat(F.lit("C-"), F.col("o_custkey"))).otherwise(F.col("o_custkey").cast("string")).alias("customer_id"),
+        F.col("o_orderdate").cast("date").cast("string").alias("order_date"),
+        status.alias("status"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.concat(price, F.lit(" USD"))).otherwise(price).alias("total_amount"),
+    )
+
+
+@query(
+    "typed_orders",
+    """SELECT CAST(o_orderkey AS INTEGER) AS order_id, CAST(o_custkey AS INTEGER) AS customer_id,
+      CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_date, o_orderstatus AS status,
+      CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) AS total_amount
+    FROM orders WHERE o_orderstatus <> 'P' AND o_orderpriority <> '1-URGENT'""",
+)
+def typed_orders(spark, folder):
+    read = accepted(typed_rows(_raw_orders(spark, folder), SHOP["orders"]))
+    return read.withColumns({"order_date": F.col("order_date").cast("string"), "total_amount": F.col("total_amount").cast("double")})
+
+
+@query(
+    "typed_orders_rejected",
+    """SELECT 'customer_id' AS column_name, 'not int' AS reason, count(*) AS n_rows, min('C-' || o_custkey) AS least
+    FROM orders WHERE o_orderstatus = 'P'
+    UNION ALL SELECT 'total_amount', 'not decimal(12,2)', count(*), min(CAST(o_totalprice AS DECIMAL(12,2)) || ' USD')
+    FROM orders WHERE o_orderpriority = '1-URGENT'""",
+)
+def typed_orders_rejected(spark, folder):
+    found = rejected(typed_rows(_raw_orders(spark, folder), SHOP["orders"]), "order_id")
+    return found.groupBy("column_name", "reason").agg(F.count("*").alias("n_rows"), F.min("field").alias("least"))
+
+
 @query(
     "values_rows",
     """SELECT status_name, count(*) AS n_orders
@@ -78,12 +125,11 @@ def distinct_values(spark, folder):
     " UNION ALL ".join(
         f"""SELECT '{c}' AS column_name, CAST(sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing
         FROM documents LEFT JOIN labels USING (doc_id)"""
-        for c in ("doc_id", "lang", "source", "quality", "toxic")
+        for c in ("doc_id", "text", "lang", "source", "n_chars", "quality", "toxic")
     ),
 )
 def missing_counts(spark, folder):
-    documents = load(spark, folder, "documents").select("doc_id", "lang", "source")
-    covered = joins.outer_join(documents, load(spark, folder, "labels"), "doc_id", "left")
+    covered = joins.outer_join(load(spark, folder, "documents"), load(spark, folder, "labels"), "doc_id", "left")
     return profile.missing_counts(covered)
 
 
@@ -309,3 +355,16 @@ def join_right(spark, folder):
 def join_full_audit(spark, folder):
     others = _customers(spark, folder).where("c_mktsegment <> 'BUILDING'").drop("c_mktsegment")
     return joins.outer_join(others, _recent_orders(spark, folder), "custkey", "full", side="side")
+
+
+@query(
+    "key_audit",
+    """SELECT coalesce(c_custkey, o_custkey) AS custkey, coalesce(n_left, 0) AS n_left, coalesce(n_right, 0) AS n_right,
+      CASE WHEN c_custkey IS NULL THEN 'right_only' WHEN o_custkey IS NULL THEN 'left_only' ELSE 'both' END AS side
+    FROM (SELECT c_custkey, count(*) AS n_left FROM customer WHERE c_mktsegment <> 'BUILDING' GROUP BY c_custkey) AS others
+    FULL JOIN (SELECT o_custkey, count(*) AS n_right FROM orders WHERE o_orderdate >= DATE '2001-01-01' GROUP BY o_custkey) AS recent
+      ON c_custkey = o_custkey""",
+)
+def key_audit(spark, folder):
+    others = _customers(spark, folder).where("c_mktsegment <> 'BUILDING'")
+    return joins.key_audit(others, _recent_orders(spark, folder), "custkey")

@@ -7,19 +7,20 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from storefront.functions.missing import nan_to_null
 from storefront.schemas import TableRules
 
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """The Parquet table ``name`` of ``folder``."""
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """The Parquet table ``name`` of ``folder``, NaN as NULL."""
+    return nan_to_null(spark.read.parquet(f"{folder}/{name}.parquet"))
 
 
 def literal_rows(
     spark: SparkSession, rows: Iterable[tuple], schema: T.StructType | str
 ) -> DataFrame:
-    """A small table written out in the program, checked against ``schema``."""
-    return spark.createDataFrame(list(rows), schema)
+    """A small table written out in the program, checked against ``schema``, NaN as NULL."""
+    return nan_to_null(spark.createDataFrame(list(rows), schema))
 
 
 def empty_tables(spark: SparkSession, rules: Mapping[str, TableRules]) -> dict[str, DataFrame]:
@@ -27,9 +28,14 @@ def empty_tables(spark: SparkSession, rules: Mapping[str, TableRules]) -> dict[s
     return {name: spark.createDataFrame([], rule.schema) for name, rule in rules.items()}
 
 
-def run_sql(spark: SparkSession, text: str, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Run SQL whose table names stand in braces, e.g. ``SELECT * FROM {orders}``."""
-    return spark.sql(text, **tables)
+def run_sql(
+    spark: SparkSession, text: str, tables: Mapping[str, DataFrame], values: Mapping[str, object] | None = None
+) -> DataFrame:
+    """Run SQL whose table names stand in braces, e.g. ``SELECT * FROM {orders}``; NaN as NULL.
+
+    ``values`` are bound to named markers such as ``:day``, so no value becomes part of the text.
+    """
+    return nan_to_null(spark.sql(text, args=dict(values or {}), **tables))
 
 
 def register_views(tables: Mapping[str, DataFrame]) -> None:

@@ -1,6 +1,9 @@
 """Every registered query against its SQL, and what no plan may contain."""
 
 import os
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 
@@ -36,3 +39,16 @@ def test_entry(spark):
     statuses = registered.entry(spark).collect()
     totals = [r.total for r in statuses]
     assert totals == sorted(totals, reverse=True) and len(totals) == 3
+
+
+@pytest.mark.parametrize("absent", ["storefront.llm", "public_tokenizers", "corpus_pipeline"])
+def test_entry_without_text_operators(absent):
+    """In a process of its own, with a module that cannot be imported."""
+    code = f"""
+import sys
+sys.modules[{absent!r}] = None
+import __spark_entry__ as e
+assert len(e.queries()) >= {len(NAMES)} and not any(n.startswith('op') for n in e.queries()), sorted(e.queries())
+assert e.TEXT_OPERATORS_LACK
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(registered.__file__).parent, timeout=120)
