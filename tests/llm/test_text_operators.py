@@ -210,3 +210,29 @@ def test_odd_rows_and_clashing_columns(name, docs, spark):
 @pytest.mark.parametrize("name", [*ALL, "rules_stage", "join_stage"])
 def test_empty_table(name, docs, spark):
     assert _applied(spark, name, docs([])).count() == 0
+
+
+def test_toxicity_on_texts_it_did_not_learn_from(docs, spark):
+    import random
+
+    draw = random.Random(8)
+    marks = ["badword", "worseword", "uglyword", "foulword"]
+    rows, labels = [], []
+    for i in range(400):
+        words = prose(2_000 + i, 200).split()
+        toxic = i % 4 == 0
+        if toxic:
+            for mark in draw.sample(marks, draw.randint(1, 3)):
+                words.insert(draw.randrange(len(words)), mark)
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    # a family of near copies that all happen to be toxic must not teach its words
+    family = prose(9, 300)
+    rows += [(1_000 + i, f"{family} badword {prose(3_000 + i, 3)}") for i in range(40)] + [(2_000, family)]
+    labels += [(1_000 + i, 1) for i in range(40)]
+    known = spark.createDataFrame([x for x in labels if x[0] % 2 == 0], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in toxicity.severity(docs(rows).select("doc_id", "text"), known).collect()}
+    held = [x for x in labels if x[0] % 2]
+    assert sum(got[i].toxic_pred for i, t in held if t) >= 0.9 * sum(t for _, t in held)
+    assert sum(got[i].toxic_pred for i, t in held if not t) <= 0.05 * len(held)
+    assert got[1_001].severity > got[2_000].severity
