@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storefront.llm.common import bucket, ship
+from storefront.llm.common import bucket, maybe_in, ship
 from storefront.llm.features import sample
 
 SAMPLE = 1_500
@@ -77,7 +77,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_size: int = SAMPLE, folds:
     known = known.where(bucket("doc_id", folds) != 0)
     chosen = sample(known, "quality", 2 * sample_size)
     shares = {r[0]: r[1] for r in known.groupBy("quality").count().collect()}
-    rows = docs.where("text IS NOT NULL").select("doc_id", "text").join(chosen, "doc_id").toPandas()
+    # only texts that may be of the sample leave the scan, one of a doc_id
+    texts = docs.where("text IS NOT NULL").select("doc_id", "text").where(maybe_in(chosen.select("doc_id"), F.col("doc_id")))
+    rows = texts.join(chosen, "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text")).toPandas()
     if rows["quality"].nunique() < 2:
         return float(shares.get(1, 0) / max(1, sum(shares.values()))) if shares else 0.5
     rows = rows.sort_values(["doc_id", "text"]).reset_index(drop=True)
