@@ -23,7 +23,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain, islice
+from struct import pack
 
 import numpy as np
 import pandas as pd
@@ -35,8 +35,8 @@ from storefront.llm.common import ship
 
 WINDOW = 32  # bytes under the rolling hash
 MEAN_CHUNK = 1024  # bytes, a power of two
-CHUNKS_KEPT = 8_000
-WORDS_KEPT = 250_000
+CHUNKS_KEPT = 4_000  # of a generation, as below
+WORDS_KEPT = 400_000
 ROWS_AT_ONCE = 256
 BASE = 0x9E3779B97F4A7C15 | 1  # odd, so it has an inverse modulo 2**64
 
@@ -89,15 +89,27 @@ def _last_space(data: bytes) -> int:
 
 
 class _Store:
-    """A plain dictionary, ``held``, whose older half is dropped when it has ``limit`` entries."""
+    """Values by key in two generations, each of at most ``limit``.
+
+    What is looked up moves to the young generation; when that is full it becomes the old one,
+    and what was not looked up meanwhile is gone. So frequent keys stay.
+    """
 
     def __init__(self, limit: int):
-        self.limit, self.held = limit, {}
+        self.limit, self.young, self.old = limit, {}, {}
 
-    def room(self) -> None:
-        if len(self.held) >= self.limit:
-            for key in list(islice(self.held, self.limit // 2)):
-                del self.held[key]
+    def get(self, key):
+        value = self.young.get(key)
+        if value is None:
+            value = self.old.get(key)
+            if value is not None:
+                self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.limit:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
 
 
 class ChunkEncoder:
@@ -114,31 +126,37 @@ class ChunkEncoder:
         self.words, self.chunks = _Store(WORDS_KEPT), _Store(CHUNKS_KEPT)
         self.encoded_chunks = 0
 
-    def _span(self, data: bytes) -> list[int]:
-        """Ids of bytes that begin and end at white space or at an end of the text."""
+    def _span(self, data: bytes) -> bytes:
+        """Ids, packed, of bytes that begin and end at white space or at an end of the text."""
         found = data.split()
-        self.words.room()
-        known = self.words.held
-        fresh = [w for w in set(found) if w not in known]
+        store = self.words
+        known, fresh = {}, []
+        for word in set(found):
+            ids = store.get(word)
+            if ids is None:
+                fresh.append(word)
+            else:
+                known[word] = ids
         if fresh:
             coded = self.tokenizer.encode_batch_fast([w.decode() for w in fresh], add_special_tokens=False)
-            known.update(zip(fresh, (e.ids for e in coded)))
-        return list(chain.from_iterable(map(known.__getitem__, found)))
+            for word, e in zip(fresh, coded):
+                ids = known[word] = pack("%di" % len(e.ids), *e.ids)
+                store.put(word, ids)
+        return b"".join(map(known.__getitem__, found))
 
-    def _chunk(self, data: bytes) -> tuple[int, int, list[int]]:
+    def _chunk(self, data: bytes) -> tuple[int, int, bytes]:
         """(end of the head, start of the tail, ids between); -1 where there is no white space."""
-        kept = self.chunks.held.get(data)
+        kept = self.chunks.get(data)
         if kept is None:
             head, tail = _first_space(data), _last_space(data)
-            inner = self._span(data[head:tail]) if head >= 0 else []
-            self.chunks.room()
-            kept = self.chunks.held[data] = (head, tail, inner)
+            kept = (head, tail, self._span(data[head:tail]) if head >= 0 else b"")
+            self.chunks.put(data, kept)
             self.encoded_chunks += 1
         return kept
 
     def encode(self, text: str) -> np.ndarray:
         data = text.encode()
-        ids: list[int] = []
+        ids: list[bytes] = []
         pending, start = b"", 0  # what waits for white space after a cut
         for end in cuts(data):
             chunk = data[start:end]
@@ -146,12 +164,12 @@ class ChunkEncoder:
             if head < 0:
                 pending += chunk
             else:
-                ids += self._span(pending + chunk[:head])
-                ids += inner
+                ids.append(self._span(pending + chunk[:head]))
+                ids.append(inner)
                 pending = chunk[tail:]
             start = end
-        ids += self._span(pending)
-        return np.array(ids, dtype=np.int32)
+        ids.append(self._span(pending))
+        return np.frombuffer(b"".join(ids), np.int32)
 
 
 @cache
