@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from storefront.llm.common import ship
+from storefront.llm.store import Store
 
 WINDOW = 32  # bytes under the rolling hash
 MEAN_CHUNK = 1024  # bytes, a power of two
@@ -88,30 +89,6 @@ def _last_space(data: bytes) -> int:
     return len(data) - len(word) if len(word) < len(data) else -1
 
 
-class _Store:
-    """Values by key in two generations, each of at most ``limit``.
-
-    What is looked up moves to the young generation; when that is full it becomes the old one,
-    and what was not looked up meanwhile is gone. So frequent keys stay.
-    """
-
-    def __init__(self, limit: int):
-        self.limit, self.young, self.old = limit, {}, {}
-
-    def get(self, key):
-        value = self.young.get(key)
-        if value is None:
-            value = self.old.get(key)
-            if value is not None:
-                self.put(key, value)
-        return value
-
-    def put(self, key, value) -> None:
-        if len(self.young) >= self.limit:
-            self.old, self.young = self.young, {}
-        self.young[key] = value
-
-
 class ChunkEncoder:
     """Encodes texts chunk by chunk with the vocabulary in the file ``path``."""
 
@@ -123,7 +100,7 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.words, self.chunks = _Store(WORDS_KEPT), _Store(CHUNKS_KEPT)
+        self.words, self.chunks = Store(WORDS_KEPT), Store(CHUNKS_KEPT)
         self.encoded_chunks = 0
 
     def _span(self, data: bytes) -> bytes:

@@ -20,15 +20,17 @@ from __future__ import annotations
 
 import re
 from functools import cache
-from math import exp, log
+from math import exp
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storefront.llm.common import bucket, land, ship
 from storefront.llm.features import sample
+from storefront.llm.store import Store
 
 SAMPLE = 1_000
 ROUNDS = 2
@@ -36,8 +38,11 @@ FOLD, FOLDS = 2, 4
 UNKNOWN = 1e-9
 FLOOR = 1e-8  # least probability of a piece
 LONGEST = 64  # longer runs of letters are taken in parts of so many
-WORDS_KEPT = 150_000
+WORDS_KEPT = 400_000  # of a generation of the store
+WORDS_AT_ONCE = 2_048
+TEXTS_AT_ONCE = 128
 _RUNS = re.compile(r"[^\W\d_]+")
+_LETTERS = regex.compile(r"\p{L}+")
 
 
 @cache
@@ -55,7 +60,10 @@ def pieces(path: str) -> dict[str, int]:
 
 
 def words_of(text: str | None) -> list[str]:
+    """Runs of letters, lower-cased, in parts of at most ``LONGEST``."""
     found = _RUNS.findall(text.lower()) if isinstance(text, str) else []
+    if found and not "".join(found).isalpha():  # fractions, circled digits and the like are no letters
+        found = [part for w in found for part in ([w] if w.isalpha() else _LETTERS.findall(w))]
     if any(len(w) > LONGEST for w in found):
         found = [w[i : i + LONGEST] for w in found for i in range(0, len(w), LONGEST)]
     return found
@@ -77,14 +85,36 @@ def _spans(word: str, vocabulary: dict[str, int], longest: int) -> list[tuple[in
     return spans
 
 
+def forwards(words: list[str], vocabulary: dict[str, int], probabilities: np.ndarray, longest: int) -> np.ndarray:
+    """Log probability of each word (a row) in every language (a column, as in ``probabilities``).
+
+    Words of a length are taken together: ``ahead[j]`` is the probability of all segmentations
+    of the first j characters, and each span of characters adds to it for all words at once.
+    """
+    rows = np.vstack([probabilities, np.zeros(probabilities.shape[1])])
+    unknown, nothing = len(rows) - 2, len(rows) - 1
+    out = np.empty((len(words), probabilities.shape[1]))
+    lengths = np.array([len(w) for w in words])
+    get = vocabulary.get
+    for length in np.unique(lengths):
+        n = int(length) + 1
+        spans = [(i, j, unknown if j == i + 1 else nothing) for i in range(n) for j in range(i + 1, min(n, i + longest) + 1)]
+        at = np.flatnonzero(lengths == length)
+        for first in range(0, len(at), WORDS_AT_ONCE):
+            part = at[first : first + WORDS_AT_ONCE]
+            held = [" " + words[k] for k in part]
+            found = np.array([[get(w[i:j], none) for i, j, none in spans] for w in held], np.int32)
+            ahead = np.zeros((n + 1, len(part), rows.shape[1]))
+            ahead[0] = 1
+            for k, (i, j, _) in enumerate(spans):
+                ahead[j] += ahead[i] * rows[found[:, k]]
+            out[part] = np.log(np.maximum(ahead[-1], 1e-300))
+    return out
+
+
 def forward(word: str, vocabulary: dict[str, int], probabilities: np.ndarray, longest: int) -> np.ndarray:
-    """Log probability of a word in every language (a column of ``probabilities`` each)."""
-    spans = _spans(word, vocabulary, longest)
-    ahead = np.zeros((len(word) + 2, probabilities.shape[1]))
-    ahead[0] = 1
-    for i, j, piece in spans:
-        ahead[j] += ahead[i] * probabilities[piece]
-    return np.log(np.maximum(ahead[-1], 1e-300))
+    """Log probability of one word in every language."""
+    return forwards([word], vocabulary, probabilities, longest)[0]
 
 
 def expected(word: str, n: float, vocabulary: dict[str, int], probabilities: list[float], longest: int, into: dict[int, float]) -> None:
@@ -141,25 +171,39 @@ def train(docs: DataFrame, vocabulary: str, sample_size: int = SAMPLE) -> tuple[
     return languages, table
 
 
-class _Scores(dict):
-    """Log probabilities of words in all languages, kept up to a bound."""
+class _Scores:
+    """Log probabilities of words in all languages, in a store of bounded size."""
+
+    def __init__(self, vocabulary: dict[str, int], table: np.ndarray):
+        self.vocabulary, self.table = vocabulary, table
+        self.longest = max(map(len, vocabulary), default=1)
+        self.store = Store(WORDS_KEPT)
+
+    def of(self, words: set[str]) -> dict[str, tuple[float, ...]]:
+        known, fresh = {}, []
+        for word in words:
+            found = self.store.get(word)
+            if found is None:
+                fresh.append(word)
+            else:
+                known[word] = found
+        if fresh:
+            for word, row in zip(fresh, forwards(fresh, self.vocabulary, self.table, self.longest).tolist()):
+                known[word] = row = tuple(row)
+                self.store.put(word, row)
+        return known
+
+
+_scores: dict[tuple, _Scores] = {}
 
-    def __init__(self, vocabulary, table, longest):
-        super().__init__()
-        self.vocabulary, self.longest = vocabulary, longest
-        self.rows = [tuple(r) for r in table.tolist()]
-        self.none = (0.0,) * table.shape[1]
 
-    def __missing__(self, word: str):
-        if len(self) > WORDS_KEPT:
-            self.clear()
-        rows = self.rows
-        ahead = [self.none] * (len(word) + 2)
-        ahead[0] = (1.0,) * len(self.none)
-        for i, j, piece in _spans(word, self.vocabulary, self.longest):
-            ahead[j] = tuple([a + b * p for a, b, p in zip(ahead[j], ahead[i], rows[piece])])
-        value = self[word] = tuple([log(a) if a > 0 else -690.0 for a in ahead[-1]])
-        return value
+def _kept_scores(vocabulary: str, table: np.ndarray) -> _Scores:
+    """The store of this worker, as long as it works for the same model."""
+    key = (vocabulary, table.shape, table.tobytes())
+    if key not in _scores:
+        _scores.clear()
+        _scores[key] = _Scores(pieces(vocabulary), table)
+    return _scores[key]
 
 
 def identify(docs: DataFrame, vocabulary: str, text: str = "text", sample_size: int = SAMPLE) -> DataFrame:
@@ -170,17 +214,17 @@ def identify(docs: DataFrame, vocabulary: str, text: str = "text", sample_size:
     spec = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest)
 
     def run(batches):
-        names = pieces(vocabulary)
-        known = _Scores(names, table, max(map(len, names), default=1))
-        for batch in batches:
+        kept = _kept_scores(vocabulary, table)
+        for batch in (b.iloc[at : at + TEXTS_AT_ONCE] for b in batches for at in range(0, len(b), TEXTS_AT_ONCE)):
             best, scores = [], []
-            for t in batch[text]:
-                found = words_of(t)
+            worded = [words_of(t) for t in batch[text]]
+            known = kept.of(set().union(*worded)) if languages else {}
+            for found in worded:
                 if not found or not languages:
                     best.append("und")
                     scores.append(0.0)
                     continue
-                sums = [sum(x) for x in zip(*[known[w] for w in found])]
+                sums = [sum(x) for x in zip(*map(known.__getitem__, found))]
                 top = max(range(len(sums)), key=sums.__getitem__)
                 best.append(languages[top])
                 scores.append(1 / sum(exp(max(s - sums[top], -700)) for s in sums))

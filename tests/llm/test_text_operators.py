@@ -155,6 +155,33 @@ def test_forward_sums_all_segmentations():
     assert np.isclose(np.exp(language_id.forward("ab", names, p, 3))[0], 0.02 + 0.1 * 0.2 + 0.3 * 0.05 + 0.3 * 0.1 * 0.2)
 
 
+def test_forwards_against_all_segmentations():
+    import random
+
+    import numpy as np
+
+    draw = random.Random(2)
+    names = {p: k for k, p in enumerate({"".join(draw.choice(" abc") for _ in range(draw.randint(1, 4))) for _ in range(40)} - {"c"})}
+    table = np.random.default_rng(2).random((len(names) + 1, 3)) / 10
+
+    def total(held, k):
+        if not held:
+            return 1.0
+        rest = sum(table[names[held[:j]], k] * total(held[j:], k) for j in range(1, min(4, len(held)) + 1) if held[:j] in names)
+        return rest + (table[-1, k] * total(held[1:], k) if held[0] not in names else 0.0)
+
+    words = ["".join(draw.choice("abcd") for _ in range(draw.randint(1, 9))) for _ in range(80)]
+    got = np.exp(language_id.forwards(words, names, table, 4))
+    assert np.allclose(got, [[total(" " + w, k) for k in range(3)] for w in words], rtol=1e-9)
+
+
+def test_only_letters_are_words(docs):
+    assert language_id.words_of("½ ² ① Ⅷ 12") == [] and language_id.words_of("Straße½ÄB x²y") == ["straße", "äb", "x", "y"]
+    rows = [(k, "the cat and the dog were with them") for k in range(40)] + [(100, "½ ² ①")]
+    got = {r.doc_id: r for r in language_id.identify(docs(rows), public_tokenizers.path("piece_bpe_32k.model")).collect()}
+    assert (got[100].lang_pred, got[100].score) == ("und", 0.0)
+
+
 @pytest.mark.parametrize("limit", [url_filter.MAX_BITS, 1])
 def test_url_cascade_is_exact(spark, limit):
     urls = [f"http://h{i}.example.org/x" for i in range(500)] + [None, "no scheme", "HTTP://A.Example.NET/en/x?q", "https://b.net"]
