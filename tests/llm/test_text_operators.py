@@ -263,3 +263,14 @@ def test_toxicity_on_texts_it_did_not_learn_from(docs, spark):
     assert sum(got[i].toxic_pred for i, t in held if t) >= 0.9 * sum(t for _, t in held)
     assert sum(got[i].toxic_pred for i, t in held if not t) <= 0.05 * len(held)
     assert got[1_001].severity > got[2_000].severity
+
+
+def test_near_duplicates_of_missing_and_repeated_ids(docs):
+    words = prose(77, 200).split()
+    first, bridge, last = (" ".join(words[:a] + extra) for a, extra in ((200, []), (185, prose(78, 4).split()), (170, prose(78, 8).split())))
+    alone = prose(79, 100)
+    table = docs([(1, first), (None, bridge), (2, last), (5, first), (5, alone)])
+    got = {(r.doc_id, r.key): r.component_id for r in ngram_join.near_duplicates(table).collect()}
+    assert sorted(got.values()) == [1, 1, 1, 1, 5] and len(got) == 5  # the text without an id links both ends
+    kept = {(r.doc_id, r.text) for r in ngram_join.apply_near_duplicates(table).collect()}
+    assert kept == {(1, first), (None, bridge), (5, alone)}
