@@ -11,10 +11,10 @@ import storefront
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storefront.session import land
+from storefront.session import land, land_observed, remove_scratch
 from storefront.sources.tables import load
 
-__all__ = ["SPACE", "bind", "bit_array", "bucket", "documents", "has_bit", "land", "load", "maybe_in", "row_key", "ship", "shuffle_width", "words"]
+__all__ = ["SPACE", "Scratch", "bind", "bit_array", "bucket", "documents", "has_bit", "land", "load", "maybe_in", "row_key", "ship", "shuffle_width", "words"]
 
 # White space between words, as a regular expression and as characters.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -88,6 +88,23 @@ def maybe_in(keys: DataFrame, column: Column, n_bits: int = 1 << 23) -> Column:
     return has_bit(bit_array(keys.select(place(F.col(name)).alias("place")), n_bits), place(column))
 
 
+class Scratch:
+    """Landed tables that go as soon as what was made of them has landed."""
+
+    def __init__(self) -> None:
+        self._paths: list[tuple[SparkSession, str]] = []
+
+    def land(self, df: DataFrame, label: str) -> DataFrame:
+        landed, _, path = land_observed(df, label)
+        self._paths.append((df.sparkSession, path))
+        return landed
+
+    def clear(self) -> None:
+        for spark, path in self._paths:
+            remove_scratch(spark, path)
+        self._paths = []
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers, which need not have it installed."""
     context = spark.sparkContext

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storefront.llm.common import land
+from storefront.llm.common import Scratch
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -17,16 +17,19 @@ def components(links: DataFrame) -> DataFrame:
     the driver.
     """
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    edges = land(edges, "links")
+    held = Scratch()
+    edges = held.land(edges, "links")
     before = None
     while True:
+        spent, held = held, Scratch()
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = land(large, "links")
+        large = spent.land(large, "links")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where("b <> m").select("b", "m").unionAll(least.select(F.col("a").alias("b"), "m"))
-        edges = land(small.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct(), "links")
+        edges = held.land(small.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct(), "links")
+        spent.clear()
         sums = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(sums) == before:
             break

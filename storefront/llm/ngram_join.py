@@ -13,9 +13,19 @@ lowest tokens. Two sets that share t tokens share k of them in their prefixes of
 
 Within an entry of the index every set is first compared with one member, its hub, chosen
 by hash, so that a large group of near copies is a star, not all its pairs. Sets already in
-one component need no more comparing. After ``HUB_ROUNDS`` rounds with other hubs all
-pairs that share an entry but are not yet in one component are compared, so none is lost.
-Every comparison is exact, on the whole sets, read again from the texts of those concerned.
+one component need no more comparing. After ``HUB_ROUNDS`` rounds with other hubs the pairs
+of unlike components are left. Entries of up to ``FREQUENT`` sets compare all of theirs. The
+sets of larger entries are indexed anew, in the order of how often tokens stand among them,
+and compared with the hub of fewest own tokens first; then the index is made once more:
+
+* A token that only one component holds cannot be shared by a pair that is left, so it comes
+  first in the order, and a set with too few others can have no partner at all.
+* The smaller set of a pair shares more of itself than the larger one must, so it is indexed
+  by a shorter prefix. The number of its tokens that others hold bounds its partners' sizes;
+  sets meet by size as well as by token.
+
+No link is lost: both are bounds on pairs that have the similarity. Every comparison is
+exact, on the whole sets, read again from the texts of those concerned.
 
 Cases: NULL, empty and wordless texts have no shingle and link with nothing; texts of fewer
 than five words are one shingle; rows repeated whole each get their row; a NULL doc_id never
@@ -34,7 +44,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storefront.llm.common import land, maybe_in, row_key, ship
+from storefront.llm.common import Scratch, land, maybe_in, row_key, ship
 from storefront.llm.components import components
 
 SHINGLE = 5
@@ -44,6 +54,7 @@ SPARE = 1.25  # lowest tokens listed at first, as a multiple of the prefix (exac
 SINGLES_BELOW = 10  # smaller sets index every prefix token singly
 BAND = 1.5625  # sizes of a band, largest over smallest
 HUB_ROUNDS = 2
+SLOT = 1.05  # sizes that meet in one entry of the later index, largest over smallest
 ROWS_AT_ONCE = 256
 _MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15)
 
@@ -107,9 +118,9 @@ def _bands(n: int) -> list[int]:
     return [own, own + 1] if band(n * 100 // PERCENT) > own or band(n * 100 // PERCENT + 1) > own else [own]
 
 
-def _pair_keys(b: int, tokens: np.ndarray) -> np.ndarray:
-    """Keys of all two-token combinations within a class."""
-    of = (tokens.view(np.uint64) % np.uint64(classes(b))).astype(np.int64)
+def _pair_keys(b: int, tokens: np.ndarray, m: int) -> np.ndarray:
+    """Keys of all two-token combinations within one of ``m`` classes."""
+    of = (tokens.view(np.uint64) % np.uint64(m)).astype(np.int64)
     order = np.argsort(of, kind="stable")
     tokens, of = tokens[order].view(np.uint64), of[order]
     keys = []
@@ -179,7 +190,7 @@ def _entries(rows: DataFrame) -> DataFrame:
                 else:
                     for b in _bands(n):
                         taken = prefix(n, classes(b) + 1)
-                        found += [rare[:taken], _pair_keys(b, common[: max(0, taken - len(rare))])]
+                        found += [rare[:taken], _pair_keys(b, common[: max(0, taken - len(rare))], classes(b))]
                 own = np.unique(np.concatenate(found))
                 nodes += [node] * len(own)
                 sizes += [n] * len(own)
@@ -189,8 +200,9 @@ def _entries(rows: DataFrame) -> DataFrame:
     return rows.mapInPandas(run, "key long, node long, n long")
 
 
-def _whole_sets(docs: DataFrame, text: str, listing: DataFrame, nodes: DataFrame, label: str) -> DataFrame:
+def _whole_sets(docs: DataFrame, text: str, listing: DataFrame, nodes: DataFrame, label: str, held: Scratch) -> DataFrame:
     """(node, n, tokens) of the given nodes, each from one text, found by its own key."""
+    land = held.land
     nodes = land(nodes, label)
     named = listing.where(maybe_in(nodes, F.col("node"))).join(nodes, "node", "left_semi")
     named = land(named.groupBy("node").agg(F.min("key").alias("_key")).select("_key").distinct(), label)
@@ -223,70 +235,185 @@ def _lacking(marked: DataFrame) -> DataFrame:
 def index(docs: DataFrame, listing: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(key, node, n), where sets that have the similarity share a key, and (node, shared), the
     listed tokens of each set that other sets list too."""
+    held = Scratch()
     tokens = listing.select("node", "n", F.explode("tokens").alias("token"))
     stats = tokens.groupBy("token").agg(F.count("*").alias("_c"), F.min("node").alias("_lo"), F.max("node").alias("_hi"))
-    shared = land(stats.where("_lo <> _hi").select("token", (F.col("_c") > FREQUENT).alias("frequent")), "shared-tokens")
+    shared = held.land(stats.where("_lo <> _hi").select("token", (F.col("_c") > FREQUENT).alias("frequent")), "shared-tokens")
     near = tokens.where(maybe_in(shared.select("token"), F.col("token"), 1 << 24))
-    hits = land(near.join(shared, "token").distinct(), "listed-tokens")
+    hits = held.land(near.join(shared, "token").distinct(), "listed-tokens")
 
     # sets short of rare tokens are read whole; their tokens may be frequent among them only
-    first = _whole_sets(docs, text, listing, _lacking(hits.where("frequent")), "lacking")
+    first = _whole_sets(docs, text, listing, _lacking(hits.where("frequent")), "lacking", held)
     counted = first.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("_c"))
     frequent = counted.where(F.col("_c") > FREQUENT).select("token").unionAll(shared.where("frequent").select("token"))
-    frequent = land(frequent.distinct(), "frequent-tokens")
+    frequent = held.land(frequent.distinct(), "frequent-tokens")
     # also listed tokens that no other set lists can be frequent among the whole sets
     marked = tokens.where(maybe_in(frequent, F.col("token"))).join(frequent, "token").distinct()
-    more = _whole_sets(docs, text, listing, _lacking(marked).join(first, "node", "left_anti"), "lacking-more")
+    more = _whole_sets(docs, text, listing, _lacking(marked).join(first, "node", "left_anti"), "lacking-more", held)
     whole = first.unionAll(more)
 
     exploded = whole.select("node", F.explode("tokens").alias("token"))
     common = exploded.join(frequent, "token").groupBy("node").agg(F.collect_list("token").alias("frequent"))
     empty = F.array().cast("array<long>")
-    extended = land(_entries(whole.join(common, "node", "left").withColumn("frequent", F.coalesce("frequent", empty))), "extended")
+    extended = held.land(_entries(whole.join(common, "node", "left").withColumn("frequent", F.coalesce("frequent", empty))), "extended")
     # rare tokens of extended prefixes that stand in one list only
-    keys = land(extended.select(F.col("key").alias("token")).distinct(), "extended-keys")
+    keys = held.land(extended.select(F.col("key").alias("token")).distinct(), "extended-keys")
     others = tokens.where(maybe_in(keys, F.col("token"))).join(keys, "token", "left_semi").select(F.col("token").alias("key"), "node", "n")
     singles = hits.join(frequent, "token", "left_anti").select(F.col("token").alias("key"), "node", "n")
-    entries = land(singles.unionAll(others).unionAll(extended).distinct(), "entries")
+    entries = held.land(singles.unionAll(others).unionAll(extended).distinct(), "entries")
     live = entries.groupBy("key").agg(F.count("*").alias("_c")).where("_c > 1").select("key")
     lists = hits.groupBy("node").agg(F.collect_list("token").alias("shared"))
-    return land(entries.join(live, "key", "left_semi"), "entries"), land(lists, "listed-tokens")
+    landed = land(entries.join(live, "key", "left_semi"), "entries"), land(lists, "listed-tokens")
+    held.clear()
+    return landed
 
 
-def links(docs: DataFrame, listing: DataFrame, text: str = "text") -> DataFrame:
-    """(a, b) that connect all nodes with the similarity; see the module for which pairs."""
+def links(docs: DataFrame, listing: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(a, b) that connect all nodes with the similarity, and (node, component) of those they connect;
+    see the module for which pairs."""
     entries, lists = index(docs, listing, text)
 
     def tested(pairs, tried, turn):
+        held = Scratch()
         pairs = _new_pairs(pairs, tried, turn)
-        near = land(_near(pairs, lists), f"near-{turn}")
-        whole = _whole_sets(docs, text, listing, near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "sets")
-        return pairs.select("a", "b"), land(_verified(near, whole), f"links-{turn}")
+        near = held.land(_near(pairs, lists), f"near-{turn}")
+        whole = _whole_sets(docs, text, listing, near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "sets", held)
+        new = land(_verified(near, whole), f"links-{turn}")
+        held.clear()
+        return pairs.select("a", "b"), new
+
+    def placed(rows, joined):
+        placed = rows.drop("component").join(joined.withColumnRenamed("component", "_new"), "node", "left")
+        return placed.withColumn("component", F.coalesce("_new", "node")).drop("_new")
 
-    of, tried, found = entries.withColumn("component", F.col("node")), None, None
+    of, tried, found, joined = entries.withColumn("component", F.col("node")), None, None, None
     for turn in range(HUB_ROUNDS):
-        order = F.xxhash64("node", F.lit(turn))
-        hubs = of.groupBy("key").agg(F.min_by(F.struct("node", "n", "component"), order).alias("_hub"))
-        pairs = of.join(hubs, "key").select(
-            "node", "n", "component", F.col("_hub.node").alias("_other"), F.col("_hub.n").alias("_m"), F.col("_hub.component").alias("_c")
-        )
-        pairs, new = tested(pairs, tried, turn)
+        pairs, new = tested(_hub_pairs(of, F.xxhash64("node", F.lit(turn))), tried, turn)
         if found is not None and pairs.isEmpty():
             break
         tried = pairs if tried is None else tried.unionAll(pairs)
-        found = new if found is None else found.unionAll(new)
-        joined = components(found).withColumnRenamed("component", "_new")
-        of = entries.join(joined, "node", "left").select("key", "node", "n", F.coalesce("_new", "node").alias("component"))
+        found, joined = _with(found, joined, new)
+        of = placed(entries, joined)
         split = of.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where("_lo <> _hi")
         of = land(of.join(split.select("key"), "key", "left_semi"), f"entries-{turn}")
-    other = of.select("key", F.col("node").alias("_other"), F.col("n").alias("_m"), F.col("component").alias("_c"))
-    _, new = tested(of.join(other, "key").where("node < _other"), tried, HUB_ROUNDS)
-    return found.unionAll(new)
+
+    held = Scratch()
+    heavy = held.land(of.groupBy("key").agg(F.count("*").alias("_c")).where(F.col("_c") > FREQUENT).select("key"), "heavy-keys")
+    light = of.join(heavy, "key", "left_anti")
+    other = light.select("key", F.col("node").alias("_other"), F.col("n").alias("_m"), F.col("component").alias("_c"))
+    pairs = light.join(other, "key").where("node < _other").where(_unlike()).drop("key")
+    if heavy.isEmpty():
+        _, new = tested(pairs, tried, HUB_ROUNDS)
+        found, joined = _with(found, joined, new)
+    else:
+        crowd = held.land(of.join(heavy, "key", "left_semi").select("node", "component").distinct(), "crowd")
+        whole = _whole_sets(docs, text, listing, crowd.select("node"), "crowd-sets", held).join(crowd, "node")
+        # the hub of an entry is now the set with the fewest tokens of its own
+        hubs = _hub_pairs(_crowd_index(whole, held), F.struct(-F.col("common"), F.xxhash64("node")))
+        pairs, new = tested(pairs.unionByName(hubs), tried, HUB_ROUNDS)
+        found, joined = _with(found, joined, new)
+        _, new = tested(_crowd_pairs(_crowd_index(placed(whole, joined), held)), tried.unionAll(pairs), HUB_ROUNDS + 1)
+        found, joined = _with(found, joined, new)
+    held.clear()
+    return found, joined
+
+
+def _with(found: DataFrame | None, joined: DataFrame | None, new: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All links and their components, the new links taken in."""
+    if found is None:
+        return new, components(new)
+    return found.unionAll(new), components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(new))
+
+
+def _hub_pairs(of: DataFrame, order: Column) -> DataFrame:
+    """(node, n, component, _other, _m, _c): every set of an entry and the entry's first set by ``order``."""
+    hubs = of.groupBy("key").agg(F.min_by(F.struct("node", "n", "component"), order).alias("_hub"))
+    return of.join(hubs, "key").select(
+        "node", "n", "component", F.col("_hub.node").alias("_other"), F.col("_hub.n").alias("_m"), F.col("_hub.component").alias("_c")
+    ).where(_unlike())
+
+
+def _unlike() -> Column:
+    return (F.col("component") != F.col("_c")) & _fits("n", "_m")
+
+
+def _crowd_index(whole: DataFrame, held: Scratch) -> DataFrame:
+    """(key, smaller, node, n, component, most, common): the later index of sets (node, n, tokens, component).
+
+    ``most`` is the largest size of a partner, ``common`` the share of tokens that other components hold.
+    """
+    tokens = whole.select("node", "n", "component", F.explode("tokens").alias("token"))
+    spread = tokens.groupBy("token").agg(F.count("*").alias("_c"), F.min("component").alias("_lo"), F.max("component").alias("_hi"))
+    spread = held.land(spread.where("_lo <> _hi").select("token", F.col("_c").alias("count")), "crowd-tokens")
+    useful = tokens.join(spread, "token").groupBy("node").agg(
+        F.any_value("n").alias("n"), F.any_value("component").alias("component"), F.collect_list("token").alias("tokens"), F.collect_list("count").alias("counts")
+    )
+    return held.land(_crowd_entries(useful.where(100 * F.size("tokens") >= PERCENT * F.col("n"))), "crowd-entries")
+
+
+def _crowd_pairs(entries: DataFrame) -> DataFrame:
+    """(node, n, component, _other, _m, _c): the pairs that meet in the later index, of sizes that both can bear."""
+    smaller = entries.where("smaller").select("key", F.col("node").alias("_other"), F.col("n").alias("_m"), F.col("component").alias("_c"), F.col("most").alias("_most"))
+    met = entries.where("NOT smaller").join(smaller, "key").where("n >= _m AND most >= _m AND _most >= n").where(_unlike())
+    return met.select("node", "n", "component", "_other", "_m", "_c")
+
+
+def largest_partner(n: int, useful: int) -> int:
+    """The largest size of a set that can have the similarity to one of ``n`` while sharing ``useful`` at most."""
+    return min(n * 100 // PERCENT, useful * (100 + PERCENT) // PERCENT - n)
+
+
+def _slot(n: int) -> int:
+    return int(log(n) / log(SLOT))
+
+
+def slot_classes(slot: int) -> int:
+    """Classes of frequent tokens where the smaller set is of this slot; none: all are indexed singly."""
+    least = ceil(SLOT**slot)
+    return 0 if least < SINGLES_BELOW else max(1, prefix(least) // 2)
+
+
+def crowd_keys(n: int, tokens: np.ndarray, counts: np.ndarray) -> Iterator[tuple[bool, np.ndarray]]:
+    """The keys of a set as the smaller of a pair (True) and as the larger, from its useful tokens."""
+    order = np.lexsort((tokens, counts))
+    tokens, rare = tokens[order], counts[order] <= FREQUENT
+    alone, most, least = n - len(tokens), largest_partner(n, len(tokens)), shared_least(n)
+    # a set shares most with partners no smaller than itself
+    roles = [(True, -(-2 * PERCENT * n // (100 + PERCENT)), range(_slot(n), _slot(n) + (most >= n)))]
+    if most >= least:
+        roles.append((False, least, range(_slot(least), _slot(min(n, most)) + 1)))
+    for smaller, shared, slots in roles:
+        for slot in slots:
+            m = slot_classes(slot)
+            taken = max(0, n - shared + 1 - alone)
+            if not rare[:taken].all():
+                taken += m
+            low, is_rare = tokens[:taken], rare[:taken]
+            if m:
+                low = np.concatenate([low[is_rare], _pair_keys(slot, low[~is_rare], m)])
+            with np.errstate(over="ignore"):
+                yield smaller, np.unique(_mix(low.view(np.uint64) + np.uint64(slot + 1)).view(np.int64))
+
+
+def _crowd_entries(useful: DataFrame) -> DataFrame:
+    """The rows of ``_crowd_index`` for sets given by their useful tokens and how many sets hold each."""
+
+    def run(batches):
+        for part in _slices(batches):
+            for node, n, component, tokens, counts in zip(part["node"], part["n"], part["component"], part["tokens"], part["counts"]):
+                tokens, counts = np.asarray(tokens, np.int64), np.asarray(counts, np.int64)
+                for smaller, keys in crowd_keys(n, tokens, counts):
+                    if len(keys):
+                        most = largest_partner(n, len(tokens))
+                        of = {"node": node, "n": n, "component": component, "most": most, "common": len(tokens) / n}
+                        yield pd.DataFrame({"key": keys, "smaller": smaller, **of})
+
+    return useful.mapInPandas(run, "key long, smaller boolean, node long, n long, component long, most long, common double")
 
 
 def _new_pairs(pairs: DataFrame, tried: DataFrame | None, turn: int) -> DataFrame:
     """(a, b, na, nb): pairs of unlike components, of sizes that fit, that were not compared before."""
-    pairs = pairs.where((F.col("component") != F.col("_c")) & _fits("n", "_m"))
+    pairs = pairs.where(_unlike())
     first = F.col("node") > F.col("_other")
     pairs = pairs.select(
         F.greatest("node", "_other").alias("a"), F.least("node", "_other").alias("b"),
@@ -320,8 +447,7 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     were found similar to the row's (those that were compared: once two sets are in one
     component they need not be)."""
     listing = land(sets(docs, text), "shingle-lists")
-    found = links(docs, listing, text)
-    joined = components(found)
+    found, joined = links(docs, listing, text)
     # names of components: the least doc_id of all rows in them
     rows = listing.select("doc_id", "key", "node", F.col("n").alias("n_shingles")).join(joined, "node", "left")
     rows = rows.withColumn("_group", F.coalesce("component", "node"))
