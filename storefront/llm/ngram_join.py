@@ -21,8 +21,9 @@ and compared with the hub of fewest own tokens first; then the index is made onc
 * A token that only one component holds cannot be shared by a pair that is left, so it comes
   first in the order, and a set with too few others can have no partner at all.
 * The smaller set of a pair shares more of itself than the larger one must, so it is indexed
-  by a shorter prefix. The number of its tokens that others hold bounds its partners' sizes;
-  sets meet by size as well as by token.
+  by a shorter prefix. The number of its tokens that others hold bounds its partners' sizes,
+  and those that its nearest large component holds bound them there; sets meet by size as
+  well as by token.
 
 No link is lost: both are bounds on pairs that have the similarity. Every comparison is
 exact, on the whole sets, read again from the texts of those concerned.
@@ -273,11 +274,12 @@ def links(docs: DataFrame, listing: DataFrame, text: str = "text") -> tuple[Data
     see the module for which pairs."""
     entries, lists = index(docs, listing, text)
 
-    def tested(pairs, tried, turn):
+    def tested(pairs, tried, turn, whole=None):
         held = Scratch()
         pairs = _new_pairs(pairs, tried, turn)
         near = held.land(_near(pairs, lists), f"near-{turn}")
-        whole = _whole_sets(docs, text, listing, near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "sets", held)
+        if whole is None:
+            whole = _whole_sets(docs, text, listing, near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "sets", held)
         new = land(_verified(near, whole), f"links-{turn}")
         held.clear()
         return pairs.select("a", "b"), new
@@ -312,7 +314,7 @@ def links(docs: DataFrame, listing: DataFrame, text: str = "text") -> tuple[Data
         hubs = _hub_pairs(_crowd_index(whole, held), F.struct(-F.col("common"), F.xxhash64("node")))
         pairs, new = tested(pairs.unionByName(hubs), tried, HUB_ROUNDS)
         found, joined = _with(found, joined, new)
-        _, new = tested(_crowd_pairs(_crowd_index(placed(whole, joined), held)), tried.unionAll(pairs), HUB_ROUNDS + 1)
+        _, new = tested(_crowd_pairs(_crowd_index(placed(whole, joined), held)), tried.unionAll(pairs), HUB_ROUNDS + 1, whole)
         found, joined = _with(found, joined, new)
     held.clear()
     return found, joined
@@ -338,23 +340,32 @@ def _unlike() -> Column:
 
 
 def _crowd_index(whole: DataFrame, held: Scratch) -> DataFrame:
-    """(key, smaller, node, n, component, most, common): the later index of sets (node, n, tokens, component).
+    """(key, smaller, node, n, component, most, common, home, most_home): the later index of sets (node, n, tokens, component).
 
-    ``most`` is the largest size of a partner, ``common`` the share of tokens that other components hold.
+    ``most`` is the largest size of a partner, ``common`` the share of tokens that other components hold,
+    ``home`` the other component that holds most of them, ``most_home`` the largest size of a partner there.
     """
     tokens = whole.select("node", "n", "component", F.explode("tokens").alias("token"))
-    spread = tokens.groupBy("token").agg(F.count("*").alias("_c"), F.min("component").alias("_lo"), F.max("component").alias("_hi"))
-    spread = held.land(spread.where("_lo <> _hi").select("token", F.col("_c").alias("count")), "crowd-tokens")
-    useful = tokens.join(spread, "token").groupBy("node").agg(
-        F.any_value("n").alias("n"), F.any_value("component").alias("component"), F.collect_list("token").alias("tokens"), F.collect_list("count").alias("counts")
+    holders = held.land(tokens.groupBy("token", "component").agg(F.count("*").alias("count")), "crowd-holders")
+    spread = holders.groupBy("token").agg(F.sum("count").alias("count"), F.count("*").alias("_c"), F.max_by("component", F.struct("count", "component")).alias("_top"))
+    useful = held.land(tokens.join(spread.where("_c > 1").drop("_c"), "token"), "crowd-tokens")
+    homes = useful.where("_top <> component").groupBy("node").agg(F.mode("_top").alias("home"))
+    there = holders.select("token", F.col("component").alias("home"), F.lit(1).alias("_there"))
+    counted = useful.join(homes, "node", "left").join(there, ["token", "home"], "left").groupBy("node").agg(
+        *[F.any_value(c).alias(c) for c in ("n", "component")], F.any_value(F.col("home").cast("string")).alias("home"), F.count("_there").alias("at_home"),
+        F.collect_list("token").alias("tokens"), F.collect_list("count").alias("counts"),
     )
-    return held.land(_crowd_entries(useful.where(100 * F.size("tokens") >= PERCENT * F.col("n"))), "crowd-entries")
+    return held.land(_crowd_entries(counted.where(100 * F.size("tokens") >= PERCENT * F.col("n"))), "crowd-entries")
 
 
 def _crowd_pairs(entries: DataFrame) -> DataFrame:
     """(node, n, component, _other, _m, _c): the pairs that meet in the later index, of sizes that both can bear."""
-    smaller = entries.where("smaller").select("key", F.col("node").alias("_other"), F.col("n").alias("_m"), F.col("component").alias("_c"), F.col("most").alias("_most"))
-    met = entries.where("NOT smaller").join(smaller, "key").where("n >= _m AND most >= _m AND _most >= n").where(_unlike())
+    smaller = entries.where("smaller").select(
+        "key", F.col("node").alias("_other"), F.col("n").alias("_m"), F.col("component").alias("_c"),
+        F.col("most").alias("_most"), F.col("home").alias("_home"), F.col("most_home").alias("_most_home"),
+    )
+    sizes = "n >= _m AND if(home <=> _c, most_home, most) >= _m AND if(_home <=> component, _most_home, _most) >= n"
+    met = entries.where("NOT smaller").join(smaller, "key").where(sizes).where(_unlike())
     return met.select("node", "n", "component", "_other", "_m", "_c")
 
 
@@ -378,14 +389,15 @@ def crowd_keys(n: int, tokens: np.ndarray, counts: np.ndarray) -> Iterator[tuple
     order = np.lexsort((tokens, counts))
     tokens, rare = tokens[order], counts[order] <= FREQUENT
     alone, most, least = n - len(tokens), largest_partner(n, len(tokens)), shared_least(n)
-    # a set shares most with partners no smaller than itself
+    # a set shares the more with a partner, the larger that is
     roles = [(True, -(-2 * PERCENT * n // (100 + PERCENT)), range(_slot(n), _slot(n) + (most >= n)))]
     if most >= least:
         roles.append((False, least, range(_slot(least), _slot(min(n, most)) + 1)))
     for smaller, shared, slots in roles:
         for slot in slots:
             m = slot_classes(slot)
-            taken = max(0, n - shared + 1 - alone)
+            asked = max(shared, -(-PERCENT * (n + int(SLOT**slot) - 1) // (100 + PERCENT)))
+            taken = max(0, n - asked + 1 - alone)
             if not rare[:taken].all():
                 taken += m
             low, is_rare = tokens[:taken], rare[:taken]
@@ -400,15 +412,18 @@ def _crowd_entries(useful: DataFrame) -> DataFrame:
 
     def run(batches):
         for part in _slices(batches):
-            for node, n, component, tokens, counts in zip(part["node"], part["n"], part["component"], part["tokens"], part["counts"]):
+            columns = ("node", "n", "component", "home", "at_home", "tokens", "counts")
+            for node, n, component, home, at_home, tokens, counts in zip(*[part[c] for c in columns]):
                 tokens, counts = np.asarray(tokens, np.int64), np.asarray(counts, np.int64)
+                home = int(home) if home else component  # a set without a home never meets its own component
                 for smaller, keys in crowd_keys(n, tokens, counts):
                     if len(keys):
                         most = largest_partner(n, len(tokens))
                         of = {"node": node, "n": n, "component": component, "most": most, "common": len(tokens) / n}
+                        of |= {"home": home, "most_home": largest_partner(n, at_home)}
                         yield pd.DataFrame({"key": keys, "smaller": smaller, **of})
 
-    return useful.mapInPandas(run, "key long, smaller boolean, node long, n long, component long, most long, common double")
+    return useful.mapInPandas(run, "key long, smaller boolean, node long, n long, component long, most long, common double, home long, most_home long")
 
 
 def _new_pairs(pairs: DataFrame, tried: DataFrame | None, turn: int) -> DataFrame:

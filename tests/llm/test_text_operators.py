@@ -90,15 +90,42 @@ def test_ngram_join_against_all_pairs(docs, monkeypatch):
         rows.append((i, " ".join(base)))
     rows += [(60, rows[0][1].upper()), (61, "a b"), (62, "a  B"), (63, ""), (64, None)]
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(docs(rows)).collect()}
+    assert got == _joined(rows)
+
+
+def _joined(rows):
+    """doc_id -> (size of the set, least doc_id reachable), from all pairs."""
     sets = {i: _shingles(t) for i, t in rows}
+    near = [(a, b) for a in sets for b in sets if sets[a] & sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
     name = {i: i for i in sets}
-    for _ in sets:
-        for a in sets:
-            for b in sets:
-                shared = len(sets[a] & sets[b])
-                if shared and 100 * shared >= 80 * len(sets[a] | sets[b]):
-                    name[a] = min(name[a], name[b])
-    assert got == {i: (len(s), name[i]) for i, s in sets.items()}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in near:
+            if name[b] < name[a]:
+                name[a], changed = name[b], True
+    return {i: (len(s), name[i]) for i, s in sets.items()}
+
+
+def test_ngram_join_of_a_crowd(docs, monkeypatch):
+    """Near copies on both sides of the threshold, and texts that share one passage: no link is lost."""
+    import random
+
+    monkeypatch.setattr(ngram_join, "FREQUENT", 8)
+    draw, met = random.Random(3), []
+    index = ngram_join._crowd_pairs
+    monkeypatch.setattr(ngram_join, "_crowd_pairs", lambda entries: met.append(index(entries)) or met[-1])
+    base, passage = prose(1, 110).split(), prose(2, 60)
+    rows = []
+    for i in range(140):
+        text = list(base)[: 110 - draw.randrange(12)]
+        for at in draw.sample(range(len(text)), draw.randrange(1, 6)):
+            text[at] = draw.choice(["odd", "even", f"own{i}"])
+        rows.append((i, " ".join(text)))
+    rows += [(200 + i, f"{passage} {prose(100 + i, 8 + i % 30)}") for i in range(200)]
+    want = _joined(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(docs(rows)).collect()} == want
+    assert len(met) == 1 and len({name for _, name in want.values()}) > 20
 
 
 def test_decontamination(docs, spark):
