@@ -311,10 +311,10 @@ def links(docs: DataFrame, listing: DataFrame, text: str = "text") -> tuple[Data
         crowd = held.land(of.join(heavy, "key", "left_semi").select("node", "component").distinct(), "crowd")
         whole = _whole_sets(docs, text, listing, crowd.select("node"), "crowd-sets", held).join(crowd, "node")
         # the hub of an entry is now the set with the fewest tokens of its own
-        hubs = _hub_pairs(_crowd_index(whole, held), F.struct(-F.col("common"), F.xxhash64("node")))
+        hubs = _hub_pairs(_crowd_index(whole, held, homes=False), F.struct(-F.col("common"), F.xxhash64("node")))
         pairs, new = tested(pairs.unionByName(hubs), tried, HUB_ROUNDS)
         found, joined = _with(found, joined, new)
-        _, new = tested(_crowd_pairs(_crowd_index(placed(whole, joined), held)), tried.unionAll(pairs), HUB_ROUNDS + 1, whole)
+        _, new = tested(_crowd_pairs(_crowd_index(placed(whole, joined), held, homes=True)), tried.unionAll(pairs), HUB_ROUNDS + 1, whole)
         found, joined = _with(found, joined, new)
     held.clear()
     return found, joined
@@ -339,21 +339,27 @@ def _unlike() -> Column:
     return (F.col("component") != F.col("_c")) & _fits("n", "_m")
 
 
-def _crowd_index(whole: DataFrame, held: Scratch) -> DataFrame:
+def _crowd_index(whole: DataFrame, held: Scratch, homes: bool) -> DataFrame:
     """(key, smaller, node, n, component, most, common, home, most_home): the later index of sets (node, n, tokens, component).
 
     ``most`` is the largest size of a partner, ``common`` the share of tokens that other components hold,
     ``home`` the other component that holds most of them, ``most_home`` the largest size of a partner there.
+    Without ``homes`` no set is given one, which a comparison with hubs does not need.
     """
     tokens = whole.select("node", "n", "component", F.explode("tokens").alias("token"))
     holders = held.land(tokens.groupBy("token", "component").agg(F.count("*").alias("count")), "crowd-holders")
     spread = holders.groupBy("token").agg(F.sum("count").alias("count"), F.count("*").alias("_c"), F.max_by("component", F.struct("count", "component")).alias("_top"))
-    useful = held.land(tokens.join(spread.where("_c > 1").drop("_c"), "token"), "crowd-tokens")
-    homes = useful.where("_top <> component").groupBy("node").agg(F.mode("_top").alias("home"))
-    there = holders.select("token", F.col("component").alias("home"), F.lit(1).alias("_there"))
-    counted = useful.join(homes, "node", "left").join(there, ["token", "home"], "left").groupBy("node").agg(
-        *[F.any_value(c).alias(c) for c in ("n", "component")], F.any_value(F.col("home").cast("string")).alias("home"), F.count("_there").alias("at_home"),
-        F.collect_list("token").alias("tokens"), F.collect_list("count").alias("counts"),
+    useful = tokens.join(spread.where("_c > 1").drop("_c"), "token")
+    if homes:
+        useful = held.land(useful, "crowd-tokens")
+        nearest = useful.where("_top <> component").groupBy("node").agg(F.mode("_top").alias("home"))
+        there = holders.select("token", F.col("component").alias("home"), F.lit(1).alias("_there"))
+        useful = useful.join(nearest, "node", "left").join(there, ["token", "home"], "left")
+    else:
+        useful = useful.withColumns({"home": F.lit(None).cast("long"), "_there": F.lit(None).cast("int")})
+    counted = useful.groupBy("node").agg(
+        *[F.any_value(c).alias(c) for c in ("n", "component")], F.any_value(F.col("home").cast("string")).alias("home"),
+        F.count("_there").alias("at_home"), F.collect_list("token").alias("tokens"), F.collect_list("count").alias("counts"),
     )
     return held.land(_crowd_entries(counted.where(100 * F.size("tokens") >= PERCENT * F.col("n"))), "crowd-entries")
 
