@@ -15,7 +15,8 @@ before are encoded by the tokenizers library in one batch.
 
 Cases: a NULL text is encoded as the empty one and gives no ids and an empty decoded text;
 texts without white space are one span; special tokens written out in a text are encoded
-as the library does; other columns pass through; an empty table gives an empty result.
+as the library does; other columns pass through, but for those called like a column of the
+result, which give way to it; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from storefront.llm.common import ship
+from storefront.llm.common import set_apart, ship
 from storefront.llm.store import Store
 
 WINDOW = 32  # bytes under the rolling hash
@@ -165,6 +166,10 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", decoded: bool =
 
     ``vocabulary`` is a tokenizers file that every executor has at that path.
     """
+    return set_apart(docs, {text}, lambda inner: _encode(inner, vocabulary, text, decoded))
+
+
+def _encode(docs: DataFrame, vocabulary: str, text: str, decoded: bool) -> DataFrame:
     ship(docs.sparkSession)
     rest = [f for f in docs.schema.fields if f.name != text]
     added = [T.StructField("ids", T.ArrayType(T.IntegerType()))]

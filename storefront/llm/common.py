@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+from collections.abc import Callable
 from pathlib import Path
 
 import storefront
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from storefront.session import land, land_observed, remove_scratch
 from storefront.sources.tables import load
 
-__all__ = ["SPACE", "Scratch", "bind", "bit_array", "bucket", "documents", "has_bit", "land", "load", "maybe_in", "row_key", "ship", "shuffle_width", "words"]
+__all__ = ["SPACE", "Scratch", "bind", "bit_array", "bucket", "documents", "has_bit", "land", "load", "maybe_in", "row_key", "set_apart", "ship", "shuffle_width", "words"]
 
 # White space between words, as a regular expression and as characters.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -50,11 +51,19 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def fresh(df: DataFrame, *names: str) -> None:
-    """Refuse input columns that an operator's own columns would hide."""
-    clash = sorted(set(names) & set(df.columns))
-    if clash:
-        raise ValueError(f"columns of the input clash with the operator's: {clash}")
+def set_apart(docs: DataFrame, read: set[str], operate: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What ``operate`` makes of ``docs``, whose columns other than ``read`` go under names of their own meanwhile.
+
+    So no column of the input can clash with one that the operator adds or needs on the way. A
+    column of the input called like one that the operator returns gives way to it.
+    """
+    read = {c.lower() for c in read}
+    inner = {c if c.lower() in read else f"_other_{i}": c for i, c in enumerate(docs.columns)}
+    made = operate(docs.toDF(*inner))
+    added = {c.lower() for c in made.columns if c not in inner}
+    return made.select(
+        *[F.col(f"`{c}`").alias(inner.get(c, c)) for c in made.columns if c not in inner or inner[c].lower() not in added]
+    )
 
 
 def bit_array(positions: DataFrame, n_bits: int) -> Column:

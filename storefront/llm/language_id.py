@@ -13,7 +13,8 @@ piece, a size the vocabulary fixes.
 
 Cases: a NULL text or one without a letter is ``und`` with score 0, as is every text when
 nothing could be learned; ties go to the language first in order; rows repeated whole
-each get their row; extra columns are left alone; labels of NULL are not learned.
+each get their row; labels of NULL are not learned; extra columns are left alone, but for
+those called like a column of the result, which give way to it.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storefront.llm.common import bucket, land, ship
+from storefront.llm.common import bucket, land, set_apart, ship
 from storefront.llm.features import sample
 from storefront.llm.store import Store
 
@@ -208,6 +209,10 @@ def _kept_scores(vocabulary: str, table: np.ndarray) -> _Scores:
 
 def identify(docs: DataFrame, vocabulary: str, text: str = "text", sample_size: int = SAMPLE) -> DataFrame:
     """``docs`` without its text, with ``held_out`` (not learned from), ``lang_pred`` and ``score``."""
+    return set_apart(docs, {"doc_id", "lang", text}, lambda inner: _identify(inner, vocabulary, text, sample_size))
+
+
+def _identify(docs: DataFrame, vocabulary: str, text: str, sample_size: int) -> DataFrame:
     renamed = docs.withColumnRenamed(text, "text") if text != "text" else docs
     languages, table = train(renamed, vocabulary, sample_size)
     rest = [f for f in docs.schema.fields if f.name != text]

@@ -16,7 +16,9 @@ than a passage go with the passages they are made of, so what is deleted of a ru
 
 Cases: NULL and wordless texts stay as they are; rows repeated whole are one document and
 each keeps the same text; a NULL doc_id comes first; lines are equal only if all
-characters are (128-bit digests are compared); other columns pass through.
+characters are (128-bit digests are compared); other columns pass through, but for one called
+``n_removed_lines``, which gives way (``apply_line_dedup`` returns it too); a very long text is
+one row like any other.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from storefront.llm.common import land, row_key, shuffle_width, words
+from storefront.llm.common import land, row_key, set_apart, shuffle_width, words
 
 MIN_WORDS = 50
 DOC = ("_doc", "_text")
@@ -114,6 +116,10 @@ def _doubled(level: DataFrame, step: int) -> DataFrame:
 
 def line_dedup(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with later copies of repeated runs taken out of ``text``, and ``n_removed_lines``."""
+    return set_apart(docs, {"doc_id", text}, lambda inner: _line_dedup(inner, text, min_words))
+
+
+def _line_dedup(docs: DataFrame, text: str, min_words: int) -> DataFrame:
     gone = later_copies(docs, text, min_words)
     keyed = docs.withColumn("_key", row_key(text))
     joined = keyed.join(gone, keyed.doc_id.eqNullSafe(gone._doc) & (keyed._key == gone._text), "left")
@@ -133,8 +139,12 @@ def line_dedup(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS)
 
 def apply_line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """The same with the columns of ``docs`` only; ``n_chars`` follows the text."""
-    cleaned = line_dedup(docs, min_words=min_words)
-    if "n_chars" in docs.columns:
-        n_chars = F.when(F.col("n_removed_lines") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-        cleaned = cleaned.withColumn("n_chars", n_chars)
-    return cleaned.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+    def clean(inner: DataFrame) -> DataFrame:
+        cleaned = line_dedup(inner, min_words=min_words)
+        if "n_chars" in inner.columns:
+            n_chars = F.when(F.col("n_removed_lines") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+            cleaned = cleaned.withColumn("n_chars", n_chars)
+        return cleaned.drop("n_removed_lines")
+
+    return set_apart(docs, {"doc_id", "text", "n_chars"}, clean).select(*[F.col(f"`{c}`") for c in docs.columns])

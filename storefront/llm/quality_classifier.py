@@ -10,7 +10,8 @@ dictionaries and half for the curve; every text, also in the sample, is taken wh
 
 Cases: NULL, empty and wordless texts have no evidence and get the curve's value there; with
 fewer than two labels every score is the share of label 1 (0.5 without labels); rows
-repeated whole each get their row; extra columns are left alone.
+repeated whole each get their row; extra columns are left alone, but for those called like a
+column of the result, which give way to it.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storefront.llm.common import bucket, maybe_in, ship
+from storefront.llm.common import bucket, maybe_in, set_apart, ship
 from storefront.llm.features import sample
 
 SAMPLE = 1_500
@@ -110,6 +111,10 @@ def _dictionary(texts: list[bytes]) -> bytes:
 
 def quality_scores(docs: DataFrame, labels: DataFrame, text: str = "text", sample_size: int = SAMPLE, folds: int = 5) -> DataFrame:
     """``docs`` without its text, with ``held_out`` (fold 0, not learned from), ``score``, ``predicted``."""
+    return set_apart(docs, {"doc_id", text}, lambda inner: _quality_scores(inner, labels, text, sample_size, folds))
+
+
+def _quality_scores(docs: DataFrame, labels: DataFrame, text: str, sample_size: int, folds: int) -> DataFrame:
     renamed = docs.withColumnRenamed(text, "text") if text != "text" else docs
     model = train(renamed, labels, sample_size, folds)
     rest = [f for f in docs.schema.fields if f.name != text]

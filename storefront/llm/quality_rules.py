@@ -11,8 +11,8 @@ third of all documents is summed on the map side; the lines above the limits mee
 documents' lines in a join that Spark may split.
 
 Cases: a NULL or empty text has no words and fails; a NULL host is a host of its own;
-repeated rows each get their row; extra columns are left alone (``apply_quality_rules``
-returns them, also where they are called like a figure); a very long text is one row like
+repeated rows each get their row; extra columns are left alone, but for those called like a
+figure, which give way to it (``apply_quality_rules`` returns those too); a very long text is one row like
 any other; an empty table gives an empty result.
 """
 
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storefront.llm.common import bind, land, row_key, words
+from storefront.llm.common import bind, land, row_key, set_apart, words
 
 MIN_DOCS = 20
 MAX_SHARE = 0.02
@@ -125,6 +125,11 @@ def quality_rules(
 ) -> DataFrame:
     """``docs`` (without its text unless asked) with the base figures, ``n_removed_lines``,
     ``n_removed_words``, ``removed`` (hashes of the lines taken out) and ``kept``."""
+    limits = (host, text, min_docs, max_share, max_removed, keep_text)
+    return set_apart(docs, {"doc_id", host, text}, lambda inner: _quality_rules(inner, *limits))
+
+
+def _quality_rules(docs: DataFrame, host: str, text: str, min_docs: int, max_share: float, max_removed: float, keep_text: bool) -> DataFrame:
     templates = template_lines(docs, host, text, min_docs, max_share)
     where = docs.select(
         F.col(host).alias("_h"), F.col("doc_id").alias("_doc"), row_key(text).alias("_k"),

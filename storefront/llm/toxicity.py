@@ -18,7 +18,8 @@ that may be of the sample leave the scan; what comes to the driver are at most
 Cases: a NULL or wordless text has no features and gets the thresholds' own severity;
 labels of rows that are missing, or a training set with one label only, give severity 0
 everywhere; a text scored equal for two grades gets the lower one; rows repeated whole each
-get their row; very long texts are scored whole; extra columns are left alone.
+get their row; very long texts are scored whole; extra columns are left alone, but for those
+called like a column of the result, which give way to it.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storefront.llm.common import maybe_in, ship
+from storefront.llm.common import maybe_in, set_apart, ship
 from storefront.llm.features import DIMENSIONS, places, sample, words_of
 
 SAMPLE = 2_000
@@ -150,6 +151,10 @@ def train(docs: DataFrame, labels: DataFrame, sample_size: int = SAMPLE):
 def severity(docs: DataFrame, labels: DataFrame, text: str = "text", sample_size: int = SAMPLE) -> DataFrame:
     """``docs`` without its text, with ``severity`` (0 to 3), ``grade`` (the likeliest) and ``toxic``
     (a grade of 1 or more is likelier than 0)."""
+    return set_apart(docs, {"doc_id", text}, lambda inner: _severity(inner, labels, text, sample_size))
+
+
+def _severity(docs: DataFrame, labels: DataFrame, text: str, sample_size: int) -> DataFrame:
     model = train(docs.withColumnRenamed(text, "text") if text != "text" else docs, labels, sample_size)
     rest = [f for f in docs.schema.fields if f.name != text]
     spec = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest)

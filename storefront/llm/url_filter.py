@@ -12,7 +12,8 @@ result.
 
 Cases: a NULL url, or one without ``://``, has an empty host and path and the key ``''``,
 which is judged as any other; rows repeated whole each get their row; listed keys that no
-page has do no harm; extra columns are left alone; empty tables give an empty result.
+page has do no harm; extra columns are left alone, but for those called like a column of the
+result, which give way to it; empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storefront.llm.common import bit_array, has_bit, land
+from storefront.llm.common import bit_array, has_bit, land, set_apart
 
 # Rules as (verdict, host, path), and host labels of listed pages.
 RULES = (
@@ -111,6 +112,10 @@ def judge(pages: DataFrame, listed: DataFrame, url: str = "url", rules=RULES, ma
     ``listed``: a column ``key`` of blocked keys, a key being host and path of a url. A rule
     decides where one fits, else the list does.
     """
+    return set_apart(pages, {url, "html"}, lambda inner: _judge(inner, listed, url, rules, max_bits))
+
+
+def _judge(pages: DataFrame, listed: DataFrame, url: str, rules, max_bits: int) -> DataFrame:
     host, path = host_and_path(F.col(url))
     parted = pages.drop("html").withColumns({"host": host, "path": path})
     own = parted.select(F.concat("host", "path").alias("key"), F.lit(False).alias("listed"), F.lit(True).alias("here"))
