@@ -10,13 +10,15 @@ them. What remains is compared word by word.
 The templates are a parameter of at most ``MAX_TEMPLATE_WORDS`` distinct words, and only they
 and their counts go to all tasks. Texts are never shuffled.
 
-Cases: a NULL text is the empty one; wordless templates match nothing; repeated rows each
-get their row; a NULL doc_id is kept; extra columns are left alone; an empty table gives
-an empty result.
+Cases: a NULL text is the empty one; wordless phrases and templates match nothing; repeated
+rows each get their row; a NULL doc_id is kept; extra columns are left alone, but for those
+called like a column of the result, which give way to it; a very long text is one row like
+any other; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from math import ceil
 from string import ascii_lowercase, ascii_uppercase
@@ -24,7 +26,7 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storefront.llm.common import land, row_key
+from storefront.llm.common import land, row_key, set_apart
 
 # What stands between words, phrases with their labels, templates with theirs.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -45,8 +47,6 @@ TEMPLATES = {
 }
 THRESHOLD = 0.8
 MAX_TEMPLATE_WORDS = 10_000
-# What any phrase needs, in any case: a cheap test ahead of the exact one.
-_HINT = r"(?i)license|(?<![0-9a-z])nc(?![0-9a-z])"
 
 
 def _lower(text: Column) -> Column:
@@ -57,6 +57,19 @@ def _split(text: Column) -> Column:
     return F.filter(F.split(text, BETWEEN), lambda w: w != "")
 
 
+def parts_of(phrase: str) -> list[str]:
+    """The words of a phrase, by the same rules as those of a text."""
+    lowered = phrase.translate(str.maketrans(ascii_uppercase, ascii_lowercase))
+    return [w for w in re.split(BETWEEN, lowered) if w]
+
+
+def hint(phrases: list[list[str]]) -> str:
+    """A pattern that every text with one of the phrases meets, for a cheap test ahead of the exact
+    one: the longest word of each phrase, in any case, on its own."""
+    longest = sorted({re.escape(max(parts, key=len)) for parts in phrases})
+    return f"(?i)(?<![0-9a-z])(?:{'|'.join(longest)})(?![0-9a-z])"
+
+
 def _places(found: Column, parts: list[str], label: str) -> Column:
     """(at, label) wherever ``parts`` stand one after the other."""
 
@@ -71,16 +84,18 @@ def _places(found: Column, parts: list[str], label: str) -> Column:
 def phrase_places(docs: DataFrame, text: str, phrases: dict[str, str]) -> DataFrame:
     """``docs`` with ``_key``, n_words, and ``_places``: (first word, label) of every phrase."""
     whole = F.coalesce(F.col(text), F.lit(""))
+    wanted = [(parts, label) for parts, label in ((parts_of(p), label) for p, label in phrases.items()) if parts]
+    may_hold = whole.rlike(hint([parts for parts, _ in wanted])) if wanted else F.lit(False)
     found = docs.withColumns(
         {
             "_key": row_key(text),
             "n_words": F.regexp_count(whole, F.lit(BETWEEN.replace("[", "[^", 1))).cast("long"),
-            "_found": F.when(whole.rlike(_HINT), _split(_lower(whole))),
+            "_found": F.when(may_hold, _split(_lower(whole))),
         }
     )
-    places = [_places(F.col("_found"), phrase.split(" "), label) for phrase, label in phrases.items()]
+    places = [_places(F.col("_found"), parts, label) for parts, label in wanted]
     none = F.array().cast("array<struct<at:bigint,label:string>>")
-    all_places = F.when(F.size("_found") > 0, F.concat(*places)).otherwise(none)
+    all_places = F.when(F.size("_found") > 0, F.concat(*places, none)).otherwise(none)
     return found.withColumn("_places", all_places).drop("_found")
 
 
@@ -129,6 +144,10 @@ def _low_if_needed(line: Column) -> Column:
 def license_scan(docs: DataFrame, text: str = "text", phrases=PHRASES, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``docs``, without its text: n_words, n_base, first_word, last_word,
     base_labels, labels, and score (1 where a phrase stands, else the best containment, else 0)."""
+    return set_apart(docs, {"doc_id", text}, lambda inner: _license_scan(inner, text, phrases, templates, threshold))
+
+
+def _license_scan(docs: DataFrame, text: str, phrases: dict[str, str], templates: dict[str, str], threshold: float) -> DataFrame:
     blocks = matching_blocks(docs, text, templates, threshold)
     by_doc = land(
         blocks.groupBy(F.col("doc_id").alias("_d"), F.col("_key").alias("_k")).agg(
