@@ -10,12 +10,18 @@ bits turned, so every fingerprint within ``radius`` bits is met in a block. Of t
 of window and item are kept whose weighted Jaccard similarity is at least ``threshold``; a
 shingle weighs its number of characters, each time it occurs.
 
+Two windows at the threshold differ in 9.7 bits on average with a deviation of 2.9, as bits of
+a SimHash differ by the angle between the weights. A radius of 19 leaves out some 3 in 10,000 of
+those; one of 15 left out 2 in 100.
+
 The items' shingles are broadcast only up to ``MAX_BROADCAST_ROWS`` rows; beyond that Spark
 joins them by shuffle, with equal results.
 
 Cases: NULL and wordless texts, of documents or items, match nothing; a document shorter
 than the item is one window; rows repeated whole give one result; a NULL doc_id is kept;
-extra columns are left alone; empty tables give an empty result.
+of windows with equal similarity the first is named, of those the shortest; extra columns are
+left alone, whatever they are called; a very long text is one row like any other; empty
+tables give an empty result.
 """
 
 from __future__ import annotations
@@ -23,11 +29,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storefront.llm.common import bind, land, maybe_in, row_key, words
+from storefront.llm.common import bind, land, maybe_in, row_key, set_apart, words
 
 SHINGLE = 5
 THRESHOLD = 0.8
-RADIUS = 15
+RADIUS = 19
 BLOCKS, BLOCK_BITS = 4, 16
 MAX_BROADCAST_ROWS = 500_000
 WORDED = r"[^\x20\x09-\x0D]"
@@ -171,6 +177,9 @@ def contaminated(
 def apply_decontamination(docs: DataFrame, benchmark: DataFrame, **limits) -> DataFrame:
     """The documents in which no item was found, with the columns of ``docs``."""
     bad = contaminated(docs, benchmark, **limits).select(F.col("doc_id").alias("_doc"), "_key").distinct()
-    keyed = docs.withColumn("_k", row_key())
-    kept = keyed.join(bad, keyed.doc_id.eqNullSafe(bad._doc) & (keyed._k == bad._key), "left_anti")
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+    def keep(inner: DataFrame) -> DataFrame:
+        keyed = inner.withColumn("_k", row_key())
+        return keyed.join(bad, keyed.doc_id.eqNullSafe(bad._doc) & (keyed._k == bad._key), "left_anti").drop("_k")
+
+    return set_apart(docs, {"doc_id", "text"}, keep)

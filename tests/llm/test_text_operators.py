@@ -1,5 +1,8 @@
 """Each text operator against brute force on small invented documents, and its odd cases."""
 
+import random
+from collections import Counter
+
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -141,6 +144,50 @@ def test_decontamination(docs, spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
 
 
+def _best_window(text: str, item: str) -> float:
+    """The highest weighted shingle similarity of an item with a window of its size, laid where a
+    shingle that they share stands at the same place in both."""
+
+    def weights(words):
+        size = min(decontamination.SHINGLE, len(words))
+        found = Counter()
+        for i in range(len(words) - size + 1):
+            shingle = " ".join(words[i : i + size])
+            found[shingle] += len(shingle)
+        return found
+
+    words, wanted = text.lower().split(), item.lower().split()
+    size, target, best = min(len(wanted), len(words)), weights(wanted), 0.0
+    n = decontamination.SHINGLE
+    places = {
+        max(0, min(p - q, len(words) - size))
+        for q in range(len(wanted) - n + 1) for p in range(len(words) - n + 1) if words[p : p + n] == wanted[q : q + n]
+    }
+    for at in places:
+        held = weights(words[at : at + size])
+        best = max(best, (held & target).total() / (held | target).total())
+    return best
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_decontamination_against_all_windows(broadcast, docs, spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "MAX_BROADCAST_ROWS", 500_000 if broadcast else 0)
+    draw = random.Random(5)
+    items = {i: prose(1000 + i, 40 + 10 * i) for i in range(6)}
+    texts = {}
+    for d in range(60):
+        passage = items[d % 6].split()
+        for _ in range(d // 12):  # up to four words put in, taken out or replaced
+            at, turn = draw.randrange(len(passage)), draw.randrange(3)
+            passage[at : at + (turn > 0)] = [] if turn == 2 else [prose(draw.randrange(10**6), 1)]
+        texts[d] = f"{prose(d, 30)} {' '.join(passage)} {prose(d + 500, 20)}" if d % 5 else " ".join(passage)
+    benchmark = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontamination.contaminated(docs(list(texts.items())), benchmark).collect()}
+    best = {(d, i): _best_window(texts[d], items[i]) for d in texts for i in items}
+    assert {p for p, s in best.items() if s >= 0.8} == set(got)
+    assert all(0.8 <= s <= best[p] + 1e-9 for p, s in got.items())
+
+
 def test_hamming_pairs_are_all_within_the_radius(spark):
     import random
 
@@ -228,6 +275,15 @@ def test_license_scan(docs):
     assert (got[3].labels, got[3].score, got[4].n_words, got[4].first_word) == ("", 0.0, 0, None)
 
 
+def test_license_phrases_of_any_words(docs):
+    phrases = {"gpl v3": "gpl-3", "GNU-Lesser": "lgpl", "日本 x": "jp", " - ": "none"}
+    rows = [(1, "released under gpl v3 terms"), (2, "gplv3, GNU lesser"), (3, "a 日本 X b"), (4, "gpl v33"), (5, "GPL\nV3 gpl-v3"), (6, "日本語 x")]
+    got = {r.doc_id: r for r in license_scan.license_scan(docs(rows), phrases=phrases, templates={}).collect()}
+    assert [got[i].base_labels for i in range(1, 7)] == ["gpl-3", "lgpl", "jp", "", "gpl-3", ""]
+    assert (got[5].n_base, got[5].first_word, got[5].last_word, got[1].first_word) == (2, 0, 2, 2)
+    assert {r.labels for r in license_scan.license_scan(docs(rows), phrases={}, templates={}).collect()} == {""}
+
+
 def test_toxicity_and_quality_catch_what_is_labelled(docs, spark):
     rows = [(i, prose(i, 40) + (" vile scoundrel" if i % 3 == 0 else "")) for i in range(150)]
     labels = spark.createDataFrame([(i, int(i % 2), int(i % 3 == 0)) for i in range(120)], "doc_id long, quality int, toxic int")
@@ -244,7 +300,7 @@ def _applied(spark, name, docs):
     return {
         "rules": lambda: quality_rules.quality_rules(docs), "rules_stage": lambda: quality_rules.apply_quality_rules(docs),
         "lines": lambda: line_dedup.line_dedup(docs), "join": lambda: ngram_join.near_duplicates(docs),
-        "join_stage": lambda: ngram_join.apply_near_duplicates(docs),
+        "lines_stage": lambda: line_dedup.apply_line_dedup(docs), "join_stage": lambda: ngram_join.apply_near_duplicates(docs),
         "leaks": lambda: decontamination.apply_decontamination(docs, benchmark), "bpe": lambda: bpe.digests(docs, VOCABULARY),
         "lang": lambda: language_id.identify(docs, public_tokenizers.path("piece_bpe_32k.model")),
         "toxic": lambda: toxicity.severity(docs, labels), "quality": lambda: quality_classifier.quality_scores(docs, labels),
@@ -261,6 +317,35 @@ def test_odd_rows_and_clashing_columns(name, docs, spark):
     assert _applied(spark, name, table).count() == len(ODD)
 
 
+OWN = ["n_words", "removed", "kept", "labels", "score", "held_out", "lang_pred", "predicted", "severity", "grade", "toxic_pred", "ids"]
+HIDDEN = ["_key", "_k", "_doc", "_d", "_gone", "_text", "_lines", "_words", "_found", "_places", "_labels", "_best", "_parts", "_h", "N_Removed_Lines"]
+
+
+@pytest.mark.parametrize("name", [*ALL, "rules_stage", "lines_stage", "join_stage"])
+def test_columns_called_like_the_operators(name, docs, spark):
+    table = docs([(1, prose(1, 60)), (2, "one"), (None, None)])
+    added = {c: F.lit(f"mine {c}") for c in [*OWN, *HIDDEN]}
+    plain, got = _applied(spark, name, table), _applied(spark, name, table.withColumns(added))
+    of = plain.columns
+    order = lambda df: sorted(map(repr, df.select(*of).collect()))
+    assert order(got) == order(plain)
+    kept = [c for c in added if c in got.columns and c not in of and c.lower() not in {x.lower() for x in of}]
+    for row in got.collect():
+        assert all(row[c] == f"mine {c}" for c in kept)
+    if name.endswith("_stage") or name == "leaks":
+        assert got.columns == [*table.columns, *added]
+
+
+def test_url_filter_odd_pages(spark):
+    schema = "page_id long, url string, host string, `_hit` string, Verdict string"
+    rows = [(1, "http://a.net/", "mine", "mine", "mine"), (1, "http://a.net/", "mine", "mine", "mine"), (None, None, None, None, None)]
+    listed = spark.createDataFrame([("b.example.org/",)], "key string")
+    got = url_filter.judge(spark.createDataFrame(rows, schema), listed).select("page_id", "host", "_hit", "rule", "verdict").collect()
+    assert sorted(map(tuple, got), key=repr) == [(1, "a.net", "mine", "net/", "block")] * 2 + [(None, "", None, None, "allow")]
+    assert url_filter.judge(spark.createDataFrame([], schema), listed).count() == 0
+    assert url_filter.judge(spark.createDataFrame(rows, schema), listed.limit(0)).count() == 3
+
+
 @pytest.mark.parametrize("name", [*ALL, "rules_stage", "join_stage"])
 def test_empty_table(name, docs, spark):
     assert _applied(spark, name, docs([])).count() == 0
