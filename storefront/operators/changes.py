@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from storefront.operators import quality
 from storefront.schemas import TableRules
-from storefront.session import land_observed, remove_scratch
+from storefront.session import land_observed, remove_scratch, spread
 from storefront.sources.tables import run_sql
 
 
@@ -103,9 +103,9 @@ class BatchResult:
             remove_scratch(self.verdict.sparkSession, path)
 
 
-def _met(existing: DataFrame, keys: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The distinct ``keys`` that occur in ``existing``."""
-    return existing.select(*columns).join(keys.select(*columns), list(columns), "left_semi").distinct()
+def _meeting(existing: DataFrame, keys: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows of ``existing`` that have one of the ``keys``, as their key columns."""
+    return existing.select(*columns).join(spread(keys.select(*columns), *columns), list(columns), "left_semi")
 
 
 def _key_report(
@@ -115,14 +115,17 @@ def _key_report(
     columns = list(columns)
     used = quality.key_counts(batch, columns)
     known = _free("taken", used)
-    taken = _met(existing, used, columns).withColumn(known, F.lit(True))
+    # both meet in one aggregation: joined, they would share a task with all that makes them
+    own = [F.col(f.name).cast(f.dataType).alias(f.name) for f in used.schema if f.name in columns]
+    taken = _meeting(existing, used, columns).select(*own, F.lit(0).cast("bigint").alias("n_rows"), F.lit(True).alias(known))
+    told = used.withColumn(known, F.lit(False)).unionByName(taken)
+    told = told.groupBy(*columns).agg(F.sum("n_rows").alias("n_rows"), F.max(known).alias(known))
     whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
-    clash = whole & ((F.col("n_rows") > 1) | F.col(known).isNotNull())
+    clash = whole & ((F.col("n_rows") > 1) | F.col(known))
     bad = clash | ~whole if primary else clash
     kind = "primary_key" if primary else "unique"
     return (
-        used.join(taken, columns, "left")
-        .where(bad)
+        told.where(bad)
         .select(
             F.lit(table).alias("table_name"),
             F.lit(kind if primary else f"{'_'.join(columns)}_unique").alias("constraint_name"),
@@ -175,7 +178,7 @@ def batch_violations(
             parents = (parents.where(link.where) if link.where else parents).select(*theirs)
             present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in mine])
             used = quality.key_counts(rows.where(present), mine)
-            found = _met(parents.toDF(*mine), used, mine)
+            found = _meeting(parents.toDF(*mine), used, mine).distinct()
             parts.append(
                 used.join(found, mine, "left_anti").select(
                     F.lit(name).alias("table_name"),

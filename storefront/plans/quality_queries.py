@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date
 from functools import reduce
 
@@ -12,6 +13,7 @@ from storefront.operators import changes, joins, quality
 from storefront.plans.registry import query
 from storefront.plans.shop_queries import RECENT
 from storefront.schemas import ForeignKey, TableRules
+from storefront.session import land, spread
 from storefront.sources.tables import load
 
 CUSTOMER = TableRules(
@@ -207,6 +209,10 @@ def stock_update(spark, folder):
     return changes.subtract_stock(_stocked_parts(spark, folder), sold, "p_partkey", "stock")
 
 
+def _stock_taken(lines: DataFrame) -> DataFrame:
+    return lines.select(F.col("l_partkey").alias("p_partkey"), F.col("l_quantity").alias("quantity"))
+
+
 def _recent_batch(spark, folder, merge_lines: bool):
     """Recent orders with their lines and stock changes, on top of the older ones.
 
@@ -218,14 +224,13 @@ def _recent_batch(spark, folder, merge_lines: bool):
         "l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("bigint").alias("l_quantity"),
         "l_discount", "l_shipdate",
     )
-    new = new_orders.select(F.col("o_orderkey").alias("l_orderkey"))
+    new = spread(new_orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey")
     new_lines = lines.join(new, "l_orderkey", "left_semi")
     if merge_lines:
         new_lines = new_lines.groupBy("l_orderkey", "l_linenumber").agg(
             F.sum("l_quantity").alias("l_quantity"),
             *[F.min(c).alias(c) for c in ("l_partkey", "l_discount", "l_shipdate")],
         )
-    taken = new_lines.select(F.col("l_partkey").alias("p_partkey"), F.col("l_quantity").alias("quantity"))
     existing = {
         "customer": load(spark, folder, "customer"),
         "part": _stocked_parts(spark, folder),
@@ -233,7 +238,7 @@ def _recent_batch(spark, folder, merge_lines: bool):
         "lineitem": lines.join(new, "l_orderkey", "left_anti"),
     }
     batch = {"orders": new_orders, "lineitem": new_lines}
-    update = changes.StockUpdate("part", taken, "p_partkey", "stock", "quantity")
+    update = changes.StockUpdate("part", _stock_taken(new_lines), "p_partkey", "stock", "quantity")
     return existing, batch, STOCKED, update
 
 
@@ -318,4 +323,7 @@ def batch_rejected(spark, folder):
     WHERE p_size * 1000 - t.taken < 0""",
 )
 def batch_violations(spark, folder):
-    return changes.batch_violations(*_recent_batch(spark, folder, merge_lines=False))
+    existing, batch, rules, stock = _recent_batch(spark, folder, merge_lines=False)
+    # every rule reads the batch, which is a join over all lines
+    batch = {name: land(rows, f"batch-{name}") for name, rows in batch.items()}
+    return changes.batch_violations(existing, batch, rules, replace(stock, changes=_stock_taken(batch["lineitem"])))

@@ -65,6 +65,17 @@ def remove_scratch(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` over all shuffle partitions, for one side of a join by these keys.
+
+    Adaptive execution merges partitions by their compressed bytes, and keys compress to a few
+    bytes a row, so one task may be left to sort millions of rows. A number of partitions that is
+    named is kept, and the other side of the join follows it. It is one more than Spark's own,
+    as Spark drops a repartition that changes nothing, and with it the name.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) + 1, *keys)
+
+
 def land(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 

@@ -195,6 +195,20 @@ def test_report_reads_each_table_once_and_shuffles_once(spark, shop, tmp_path):
     assert plan.count("Exchange ") == 1 and "Join" not in plan
 
 
+def test_keys_of_a_batch_meet_over_all_partitions(spark, rows):
+    # few bytes can be many rows: partitions that look small must not be merged into one task
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        existing, batch = spark.range(1000), spark.createDataFrame([(5,), (5,), (7,), (2000,), (None,)], "id BIGINT")
+        met = changes._meeting(existing, quality.key_counts(batch, ["id"]), ["id"])
+        assert rows(met) == [(5,), (7,)] and met.rdd.getNumPartitions() > 8
+        report = changes._key_report(existing, batch, "t", ["id"], primary=True)
+        assert rows(report, "key", "n_rows") == [("5", 2), ("7", 1), ("NULL", 1)]
+        assert "LeftOuter" not in _final_plan(report)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_report_keeps_typed_keys_apart(spark, rows):
     parent = TableRules("parent", primary_key=("a", "b"), schema="a STRING, b STRING")
     child = TableRules(
