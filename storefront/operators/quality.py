@@ -178,48 +178,53 @@ def violation_report(tables: Mapping[str, DataFrame], rules: Mapping[str, TableR
     keys = _keys(tables, rules)
     tags = [(k, None) for k in keys] + [(name, t) for name, rule in rules.items() for t in _row_rules(rule)]
     # a tagged key: its tag, its parts as texts of a common type, and who speaks: the owner, or a reference
+    sizes = [len(k.columns if test is None else rules[k].primary_key) for k, test in tags]
+    names = [f"part{i}" for i in range(max(sizes, default=0))]
     parts: dict[str, list[Column]] = {name: [] for name in tables}
 
     def add(table: str, tag: int, columns: Sequence[str], types: Sequence[T.DataType | None], speaker: int, when: Column) -> None:
-        values = F.array(*[_part(F.col(c), t) for c, t in zip(columns, types, strict=True)])
-        tagged = F.struct(F.lit(tag).alias("tag"), values.alias("parts"), F.lit(speaker).alias("speaker"))
+        values = [_part(F.col(c), t) for c, t in zip(columns, types, strict=True)]
+        values += [F.lit(None).cast("string")] * (len(names) - len(values))
+        tagged = F.struct(F.lit(tag).alias("tag"), *[v.alias(n) for v, n in zip(values, names, strict=True)], F.lit(speaker).alias("speaker"))
         parts[table].append(F.when(when, tagged))
 
-    speakers: list[tuple[str, ForeignKey]] = []
     for tag, (k, test) in enumerate(tags):
         if test is not None:
             add(k, tag, rules[k].primary_key, [None] * len(rules[k].primary_key), 0, test[2])
             continue
         owns = F.lit(True) if k.primary else _all_present(k.columns)
         add(k.table, tag, k.columns, k.types, 0, owns & F.coalesce(F.expr(k.where), F.lit(False)) if k.where else owns)
-        for child, link in k.references:
-            speakers.append((child, link))
-            add(child, tag, link.columns, k.types, len(speakers), _all_present(link.columns))
+        for speaker, (child, link) in enumerate(k.references, 1):
+            add(child, tag, link.columns, k.types, speaker, _all_present(link.columns))
     spoken = [
-        tables[name].select(F.inline(F.array_compact(F.array(*columns)))) for name, columns in parts.items() if columns
+        tables[name].select(F.inline(F.array(*columns))).where("tag IS NOT NULL") for name, columns in parts.items() if columns
     ]
-    counts = [F.count_if(F.col("speaker") == s).alias(f"n{s}") for s in range(len(speakers) + 1)]
-    met = reduce(DataFrame.unionAll, spoken).groupBy("tag", "parts").agg(*counts)
+    n_speakers = 1 + max((len(k.references) for k in keys), default=0)
+    counts = [F.count_if(F.col("speaker") == s).alias(f"n{s}") for s in range(n_speakers)]
+    met = reduce(DataFrame.unionAll, spoken).groupBy("tag", *names).agg(*counts)
 
-    def row(tag: int, table: str, constraint: str, kind: str, n: str, when: Column) -> Column:
+    wrong: list[tuple[Column, Column]] = []
+
+    def row(tag: int, table: str, constraint: str, kind: str, n: str, when: Column) -> None:
         found = F.struct(
             F.lit(table).alias("table_name"), F.lit(constraint).alias("constraint_name"), F.lit(kind).alias("kind"), F.col(n).alias("n_rows")
         )
-        return F.when((F.col("tag") == tag) & when, found)
+        wrong.append(((F.col("tag") == tag) & when, found))
 
-    wrong = []
-    whole = ~F.exists("parts", lambda p: p.isNull())
     for tag, (k, test) in enumerate(tags):
+        whole = _all_present(names[: sizes[tag]])
         if test is not None:
-            wrong.append(row(tag, k, test[0], test[1], "n0", F.lit(True)))
+            row(tag, k, test[0], test[1], "n0", F.lit(True))
             continue
         if k.primary:
-            wrong.append(row(tag, k.table, "primary_key", "primary_key", "n0", (F.col("n0") > 1) | (~whole & (F.col("n0") > 0))))
+            row(tag, k.table, "primary_key", "primary_key", "n0", (F.col("n0") > 1) | (~whole & (F.col("n0") > 0)))
         if k.unique:
-            wrong.append(row(tag, k.table, f"{'_'.join(k.columns)}_unique", "unique", "n0", whole & (F.col("n0") > 1)))
-        for child, link in k.references:
-            n = f"n{speakers.index((child, link)) + 1}"
-            wrong.append(row(tag, child, link.name, "foreign_key", n, (F.col("n0") == 0) & (F.col(n) > 0)))
-    key = F.array_join(F.transform("parts", _written), "|")
-    report = met.select(key.alias("key"), F.inline(F.array_compact(F.array(*wrong))))
+            row(tag, k.table, f"{'_'.join(k.columns)}_unique", "unique", "n0", whole & (F.col("n0") > 1))
+        for speaker, (child, link) in enumerate(k.references, 1):
+            row(tag, child, link.name, "foreign_key", f"n{speaker}", (F.col("n0") == 0) & (F.col(f"n{speaker}") > 0))
+    # the texts of a key are only put together for keys that break a rule
+    bad = met.where(reduce(lambda a, b: a | b, [when for when, _ in wrong]))
+    has = [[tag for tag, size in enumerate(sizes) if size > i] for i in range(len(names))]
+    key = F.concat_ws("|", *[F.when(F.col("tag").isin(has[i]), _written(F.col(n))) for i, n in enumerate(names)])
+    report = bad.select(key.alias("key"), F.inline(F.array_compact(F.array(*[F.when(when, found) for when, found in wrong]))))
     return report.select(*REPORT_COLUMNS)

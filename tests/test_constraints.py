@@ -195,6 +195,13 @@ def test_report_reads_each_table_once_and_shuffles_once(spark, shop, tmp_path):
     assert plan.count("Exchange ") == 1 and "Join" not in plan
 
 
+def test_report_groups_by_plain_columns(spark, shop):
+    # an array of texts as a key costs time with every row
+    plan = _final_plan(quality.violation_report(shop, SHOP))
+    grouped = [line for line in plan.splitlines() if "Aggregate(keys=" in line]
+    assert grouped and all("keys=[tag" in line and "parts" not in line for line in grouped)
+
+
 def test_keys_of_a_batch_meet_over_all_partitions(spark, rows):
     # few bytes can be many rows: partitions that look small must not be merged into one task
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
