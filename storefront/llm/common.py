@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from storefront.session import land, land_observed, remove_scratch
 from storefront.sources.tables import load
 
-__all__ = ["SPACE", "Scratch", "bind", "bit_array", "bucket", "documents", "has_bit", "land", "load", "maybe_in", "row_key", "set_apart", "ship", "shuffle_width", "words"]
+__all__ = ["SPACE", "SPACES", "Scratch", "bind", "bit_array", "bucket", "documents", "has_bit", "land", "load", "maybe_in", "row_key", "set_apart", "ship", "shuffle_width", "words"]
 
 # White space between words, as a regular expression and as characters.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -104,9 +104,13 @@ class Scratch:
         self._paths: list[tuple[SparkSession, str]] = []
 
     def land(self, df: DataFrame, label: str) -> DataFrame:
-        landed, _, path = land_observed(df, label)
+        return self.land_observed(df, label)[0]
+
+    def land_observed(self, df: DataFrame, label: str, **figures: Column) -> tuple[DataFrame, dict]:
+        """The landed table, and aggregates that its write counted on the way."""
+        landed, seen, path = land_observed(df, label, **figures)
         self._paths.append((df.sparkSession, path))
-        return landed
+        return landed, seen
 
     def clear(self) -> None:
         for spark, path in self._paths:

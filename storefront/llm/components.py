@@ -28,11 +28,12 @@ def components(links: DataFrame) -> DataFrame:
         large = spent.land(large, "links")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where("b <> m").select("b", "m").unionAll(least.select(F.col("a").alias("b"), "m"))
-        edges = held.land(small.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct(), "links")
+        small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        edges, sums = held.land_observed(small, "links", n=F.count("*"), sum=F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")))
         spent.clear()
-        sums = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(sums) == before:
+        sums = sums["n"], sums["sum"]
+        if sums == before:
             break
-        before = tuple(sums)
+        before = sums
     stars = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return stars.unionAll(edges.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()

@@ -14,8 +14,8 @@ lowest tokens. Two sets that share t tokens share k of them in their prefixes of
 Within an entry of the index every set is first compared with one member, its hub, chosen
 by hash, so that a large group of near copies is a star, not all its pairs. Sets already in
 one component need no more comparing. After ``HUB_ROUNDS`` rounds with other hubs the pairs
-of unlike components are left. Entries of up to ``FREQUENT`` sets compare all of theirs. The
-sets of larger entries are indexed anew, in the order of how often tokens stand among them,
+of unlike components are left. Entries with about as few of them, of sizes that fit, as
+``FREQUENT`` sets can have compare all of theirs. The sets of other entries are indexed anew, in the order of how often tokens stand among them,
 and compared with the hub of fewest own tokens first; then the index is made once more:
 
 * A token that only one component holds cannot be shared by a pair that is left, so it comes
@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storefront.llm.common import Scratch, land, maybe_in, row_key, ship
+from storefront.llm.common import SPACES, Scratch, land, maybe_in, row_key, ship
 from storefront.llm.components import components
 
 SHINGLE = 5
@@ -68,31 +68,42 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class _Words(dict):
-    """Hashes of words, kept up to a bound."""
+# One number for each byte at each of the first places of a word; later places are set apart by a scrambling.
+_PLACES = 64
+_LETTERS = _mix(np.arange(1, _PLACES * 256 + 1, dtype=np.uint64) * np.uint64(_MIX[2]))
+_INSIDE = bytes(chr(c) not in SPACES for c in range(256))  # by byte: is it of a word?
+_TURNS = _mix(np.arange(1, SHINGLE + 1, dtype=np.uint64)) | np.uint64(1)
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 200_000:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
 
-
-_words = _Words()
+def word_hashes(text: str) -> np.ndarray:
+    """A 64-bit hash of each word of a whole text, A-Z lower-cased."""
+    lowered = b" %b " % text.encode().lower()
+    inside = np.frombuffer(lowered.translate(_INSIDE), bool)
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    lengths = edges[1::2] - edges[::2]
+    if not len(lengths):
+        return np.zeros(0, np.uint64)
+    first = np.cumsum(lengths) - lengths
+    letters = np.frombuffer(lowered, np.uint8)[inside]
+    place = np.arange(len(letters), dtype=np.int32) - np.repeat(first.astype(np.int32), lengths)
+    value = _LETTERS.take(((place & (_PLACES - 1)) << 8) | letters)
+    if lengths.max() > _PLACES:
+        far = np.flatnonzero(place >= _PLACES)
+        value[far] = _mix(value[far] + (place[far] // _PLACES).astype(np.uint64))
+    return _mix(np.add.reduceat(value, first) + lengths.astype(np.uint64))
 
 
 def shingle_set(text: str | None) -> np.ndarray:
     """The sorted distinct tokens of a whole text, as signed 64-bit numbers."""
-    found = text.encode().lower().split() if isinstance(text, str) else []
-    if not found:
+    hashes = word_hashes(text) if isinstance(text, str) else np.zeros(0, np.uint64)
+    if not len(hashes):
         return np.zeros(0, np.int64)
-    hashes = np.fromiter(map(_words.__getitem__, found), np.uint64, len(found))
-    size = min(SHINGLE, len(found))
-    with np.errstate(over="ignore"):
-        token = np.full(len(found) - size + 1, size, np.uint64)
-        for j in range(size):
-            token = _mix(token * np.uint64(_MIX[2]) + hashes[j : len(found) - size + 1 + j])
-    return np.unique(token.view(np.int64))
+    size = min(SHINGLE, len(hashes))
+    token = np.full(len(hashes) - size + 1, size, np.uint64)
+    for j in range(size):
+        token += hashes[j : len(hashes) - size + 1 + j] * _TURNS[j]
+    token = np.sort(_mix(token).view(np.int64))
+    return token[np.append(True, token[1:] != token[:-1])]
 
 
 def shared_least(n: int) -> int:
@@ -257,9 +268,13 @@ def index(docs: DataFrame, listing: DataFrame, text: str = "text") -> tuple[Data
     common = exploded.join(frequent, "token").groupBy("node").agg(F.collect_list("token").alias("frequent"))
     empty = F.array().cast("array<long>")
     extended = held.land(_entries(whole.join(common, "node", "left").withColumn("frequent", F.coalesce("frequent", empty))), "extended")
-    # rare tokens of extended prefixes that stand in one list only
-    keys = held.land(extended.select(F.col("key").alias("token")).distinct(), "extended-keys")
-    others = tokens.where(maybe_in(keys, F.col("token"))).join(keys, "token", "left_semi").select(F.col("token").alias("key"), "node", "n")
+    # tokens of extended prefixes that stand in one list only, or that small sets index singly though they are
+    # frequent: in the lists of sets of a size that one of the extended sets can be a partner of
+    sizes = extended.groupBy(F.col("key").alias("token")).agg(F.min("n").alias("_least"), F.max("n").alias("_most"))
+    keys = held.land(sizes, "extended-keys")
+    reached = (100 * F.col("n") >= PERCENT * F.col("_least")) & (100 * F.col("_most") >= PERCENT * F.col("n"))
+    others = tokens.where(maybe_in(keys.select("token"), F.col("token"))).join(keys, "token").where(reached)
+    others = others.select(F.col("token").alias("key"), "node", "n")
     singles = hits.join(frequent, "token", "left_anti").select(F.col("token").alias("key"), "node", "n")
     entries = held.land(singles.unionAll(others).unionAll(extended).distinct(), "entries")
     live = entries.groupBy("key").agg(F.count("*").alias("_c")).where("_c > 1").select("key")
@@ -295,12 +310,14 @@ def links(docs: DataFrame, listing: DataFrame, text: str = "text") -> tuple[Data
             break
         tried = pairs if tried is None else tried.unionAll(pairs)
         found, joined = _with(found, joined, new)
-        of = placed(entries, joined)
-        split = of.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where("_lo <> _hi")
-        of = land(of.join(split.select("key"), "key", "left_semi"), f"entries-{turn}")
+        of = placed(of.drop("members"), joined)
+        split = of.groupBy("key").agg(
+            F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.count("*").alias("members")
+        ).where("_lo <> _hi")
+        of = land(of.join(split.select("key", "members"), "key"), f"entries-{turn}")
 
     held = Scratch()
-    heavy = held.land(of.groupBy("key").agg(F.count("*").alias("_c")).where(F.col("_c") > FREQUENT).select("key"), "heavy-keys")
+    heavy = held.land(_heavy(of), "heavy-keys")
     light = of.join(heavy, "key", "left_anti")
     other = light.select("key", F.col("node").alias("_other"), F.col("n").alias("_m"), F.col("component").alias("_c"))
     pairs = light.join(other, "key").where("node < _other").where(_unlike()).drop("key")
@@ -320,10 +337,26 @@ def links(docs: DataFrame, listing: DataFrame, text: str = "text") -> tuple[Data
     return found, joined
 
 
+def _heavy(of: DataFrame) -> DataFrame:
+    """Keys of entries with more pairs of unlike components and fitting sizes than ``FREQUENT`` sets have.
+
+    Such sizes stand in one step of a scale or in neighbouring ones; the pairs of one step are
+    counted twice, so an entry that is left has at most twice as many.
+    """
+    step = F.floor(F.log("n") / log(100 / PERCENT))
+    steps = of.where(F.col("members") > FREQUENT).select("key", "component", F.explode(F.array(step, step + 1)).alias("_step"))
+    alike = steps.groupBy("key", "_step", "component").agg(F.count("*").alias("_c"))
+    met = alike.groupBy("key", "_step").agg(F.sum("_c").alias("_c"), F.sum(F.col("_c") * F.col("_c")).alias("_alike"))
+    pairs = F.sum(F.col("_c") * F.col("_c") - F.col("_alike")) / 2
+    return met.groupBy("key").agg(pairs.alias("_pairs")).where(F.col("_pairs") > FREQUENT * (FREQUENT - 1)).select("key")
+
+
 def _with(found: DataFrame | None, joined: DataFrame | None, new: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All links and their components, the new links taken in."""
     if found is None:
         return new, components(new)
+    if new.isEmpty():
+        return found, joined
     return found.unionAll(new), components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(new))
 
 
@@ -418,18 +451,23 @@ def _crowd_entries(useful: DataFrame) -> DataFrame:
 
     def run(batches):
         for part in _slices(batches):
+            made = []
             columns = ("node", "n", "component", "home", "at_home", "tokens", "counts")
             for node, n, component, home, at_home, tokens, counts in zip(*[part[c] for c in columns]):
                 tokens, counts = np.asarray(tokens, np.int64), np.asarray(counts, np.int64)
                 home = int(home) if home else component  # a set without a home never meets its own component
-                for smaller, keys in crowd_keys(n, tokens, counts):
-                    if len(keys):
-                        most = largest_partner(n, len(tokens))
-                        of = {"node": node, "n": n, "component": component, "most": most, "common": len(tokens) / n}
-                        of |= {"home": home, "most_home": largest_partner(n, at_home)}
-                        yield pd.DataFrame({"key": keys, "smaller": smaller, **of})
-
-    return useful.mapInPandas(run, "key long, smaller boolean, node long, n long, component long, most long, common double, home long, most_home long")
+                most = largest_partner(n, len(tokens))
+                of = (node, n, component, most, len(tokens) / n, home, largest_partner(n, at_home))
+                made += [(keys, smaller, *of) for smaller, keys in crowd_keys(n, tokens, counts)]
+            if made:
+                keys, *others = zip(*made)
+                times = [len(x) for x in keys]
+                columns = {c: np.repeat(np.array(x), times) for c, x in zip(names[1:], others)}
+                yield pd.DataFrame({"key": np.concatenate(keys), **columns})
+
+    schema = "key long, smaller boolean, node long, n long, component long, most long, common double, home long, most_home long"
+    names = [x.split()[0] for x in schema.split(", ")]
+    return useful.mapInPandas(run, schema)
 
 
 def _new_pairs(pairs: DataFrame, tried: DataFrame | None, turn: int) -> DataFrame:

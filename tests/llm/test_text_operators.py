@@ -131,6 +131,43 @@ def test_ngram_join_of_a_crowd(docs, monkeypatch):
     assert len(met) == 1 and len({name for _, name in want.values()}) > 20
 
 
+def test_ngram_join_lists_meet_small_sets_by_size(docs, monkeypatch):
+    """Long texts that hold a frequent line whole short texts are made of do not enter the short texts' index."""
+    monkeypatch.setattr(ngram_join, "FREQUENT", 4)
+    line = prose(1, 12).split()
+    spans = [(a, b) for a in range(12) for b in range(a + 6, 12)]
+    rows = [(i, " ".join(line[a:b])) for i, (a, b) in enumerate(spans)]
+    rows += [(100 + i, f"{' '.join(line)} {prose(200 + i, 30 + i)}") for i in range(60)]
+    listing = ngram_join.sets(docs(rows))
+    short = listing.where("n < 10").select(F.explode("tokens").alias("token")).distinct()
+    assert listing.where("n >= 30").select(F.explode("tokens").alias("token")).join(short, "token").count() > 0
+    entries = ngram_join.index(docs(rows), listing)[0]
+    spread = entries.groupBy("key").agg(F.min("n").alias("least"), F.max("n").alias("most")).where("least < 10").collect()
+    assert spread and all(r.most < 10 for r in spread)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(docs(rows)).collect()} == _joined(rows)
+
+
+def test_entries_are_heavy_by_pairs_left_to_compare(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "FREQUENT", 4)
+    rows = [(1, 100, 7, 6)] * 5 + [(1, 100, 8, 6)]  # all of one component and one other: few pairs
+    rows += [(2, 2**k, k, 20) for k in range(20)]  # no two sizes fit
+    rows += [(3, 100 + k, k, 20) for k in range(20)]
+    of = spark.createDataFrame(rows, "key long, n long, component long, members long")
+    assert [r.key for r in ngram_join._heavy(of).collect()] == [3]
+
+
+def test_hashes_of_words_follow_white_space_and_case():
+    texts = ["", " \t\n\x0b\x0c\r", "A b\x0bC", "x" * 64 + " " + "x" * 65 + " " + "x" * 128 + " " + "y" * 129, "\xe9\x85\xc9 b\x1cd", prose(4, 300)]
+    texts.append(" " + texts[-1].upper() + "\n")
+    for text in texts:
+        found = text.encode().lower().split()
+        hashes = ngram_join.word_hashes(text).tolist()
+        assert len(hashes) == len(found) and len(set(hashes)) == len(set(found)) == len(set(zip(hashes, found)))
+        assert len(ngram_join.shingle_set(text)) == len({tuple(found[k : k + 5]) for k in range(max(1, len(found) - 4))} if found else ())
+    assert ngram_join.shingle_set(texts[-1]).tolist() == ngram_join.shingle_set(texts[-2]).tolist()
+    assert not len(ngram_join.shingle_set(None))
+
+
 def test_decontamination(docs, spark):
     item = prose(1, 30)
     changed = item.split()
