@@ -318,7 +318,7 @@ def links(docs: DataFrame, listing: DataFrame, text: str = "text") -> tuple[Data
 
     held = Scratch()
     heavy = held.land(_heavy(of), "heavy-keys")
-    light = of.join(heavy, "key", "left_anti")
+    light = of.drop("members").join(heavy, "key", "left_anti")
     other = light.select("key", F.col("node").alias("_other"), F.col("n").alias("_m"), F.col("component").alias("_c"))
     pairs = light.join(other, "key").where("node < _other").where(_unlike()).drop("key")
     if heavy.isEmpty():
