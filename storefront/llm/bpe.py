@@ -8,7 +8,7 @@ after it, across as many chunks as that takes. White space ends every token of t
 vocabularies for which this operator is meant, so the ids on both sides of such a span are
 those of the whole text: the result agrees exactly with encoding the text at once.
 
-Chunks are kept per Python worker, in a store of bounded size. Sharing them across the
+Chunks are kept per Python worker, in a store of bounded bytes, until another operator works there. Sharing them across the
 cluster would need a shuffle of all texts and ids, which costs more than it saves (see the
 README). Within a chunk, words are looked up in a second bounded store and those not met
 before are encoded by the tokenizers library in one batch.
@@ -24,21 +24,21 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from functools import cache
-from struct import pack
+from struct import pack, unpack_from
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from storefront.llm.common import set_apart, ship
-from storefront.llm.store import Store
+from storefront.llm.store import ByteStore, hold
 
 WINDOW = 32  # bytes under the rolling hash
 MEAN_CHUNK = 1024  # bytes, a power of two
-CHUNKS_KEPT = 4_000  # of a generation, as below
-WORDS_KEPT = 400_000
+CHUNKS_KEPT = 8 << 20  # bytes of a generation, as below
+WORDS_KEPT = 32 << 20
 ROWS_AT_ONCE = 256
 BASE = 0x9E3779B97F4A7C15 | 1  # odd, so it has an inverse modulo 2**64
 
@@ -101,16 +101,16 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.words, self.chunks = Store(WORDS_KEPT), Store(CHUNKS_KEPT)
+        self.words, self.chunks = ByteStore(WORDS_KEPT), ByteStore(CHUNKS_KEPT)
         self.encoded_chunks = 0
 
     def _span(self, data: bytes) -> bytes:
         """Ids, packed, of bytes that begin and end at white space or at an end of the text."""
         found = data.split()
-        store = self.words
+        store, young = self.words, self.words.young.get
         known, fresh = {}, []
         for word in set(found):
-            ids = store.get(word)
+            ids = young(word) or store.get(word)
             if ids is None:
                 fresh.append(word)
             else:
@@ -127,10 +127,10 @@ class ChunkEncoder:
         kept = self.chunks.get(data)
         if kept is None:
             head, tail = _first_space(data), _last_space(data)
-            kept = (head, tail, self._span(data[head:tail]) if head >= 0 else b"")
+            kept = pack("=qq", head, tail) + (self._span(data[head:tail]) if head >= 0 else b"")
             self.chunks.put(data, kept)
             self.encoded_chunks += 1
-        return kept
+        return *unpack_from("=qq", kept), kept[16:]
 
     def encode(self, text: str) -> np.ndarray:
         data = text.encode()
@@ -150,9 +150,8 @@ class ChunkEncoder:
         return np.frombuffer(b"".join(ids), np.int32)
 
 
-@cache
 def _encoder(path: str) -> ChunkEncoder:
-    return ChunkEncoder(path)
+    return hold(("bpe", path), lambda: ChunkEncoder(path))
 
 
 @cache
@@ -176,18 +175,22 @@ def _encode(docs: DataFrame, vocabulary: str, text: str, decoded: bool) -> DataF
     if decoded:
         added.append(T.StructField("decoded", T.StringType()))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = [f.name for f in (*rest, *added)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _encoder(vocabulary)
         for batch in batches:
-            for at in range(0, len(batch), ROWS_AT_ONCE):
-                part = batch.iloc[at : at + ROWS_AT_ONCE]
-                ids = [coder.encode(t) if isinstance(t, str) else np.array([], np.int32) for t in part[text]]
-                out = part.drop(columns=[text]).assign(ids=ids)
+            # only a few rows of a batch are Python objects at a time; the text is its last column
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                *others, texts = batch.slice(at, ROWS_AT_ONCE).columns
+                ids = [coder.encode(t or "") for t in texts.to_pylist()]
+                ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+                others.append(pa.ListArray.from_arrays(ends, np.concatenate(ids)))
                 if decoded:
-                    out["decoded"] = decode_ids(ids, vocabulary)
-                yield out
+                    others.append(pa.array(decode_ids(ids, vocabulary), pa.string()))
+                yield pa.RecordBatch.from_arrays(others, names)
 
-    return docs.select(*[F.col(f"`{f.name}`") for f in rest], F.col(f"`{text}`")).mapInPandas(run, T.StructType([*rest, *added]))
+    return docs.select(*[F.col(f"`{f.name}`") for f in rest], F.col(f"`{text}`")).mapInArrow(run, T.StructType([*rest, *added]))
 
 
 def decode_ids(rows: list[np.ndarray], vocabulary: str) -> list[str]:

@@ -47,6 +47,7 @@ from pyspark.sql import functions as F
 
 from storefront.llm.common import SPACES, Scratch, land, maybe_in, row_key, ship
 from storefront.llm.components import components
+from storefront.llm.store import release
 
 SHINGLE = 5
 PERCENT = 80
@@ -147,6 +148,7 @@ def _pair_keys(b: int, tokens: np.ndarray, m: int) -> np.ndarray:
 
 
 def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    release()
     for batch in batches:
         for at in range(0, len(batch), ROWS_AT_ONCE):
             yield batch.iloc[at : at + ROWS_AT_ONCE]

@@ -249,6 +249,38 @@ def test_bpe_agrees_with_the_library(docs):
     assert [r.n_tokens for r in bpe.digests(docs([(1, None), (2, "a b")]), VOCABULARY).orderBy("doc_id").collect()] == [0, 2]
 
 
+def test_bpe_keeps_bounded_bytes_however_long_the_chunks():
+    coder = bpe.ChunkEncoder(VOCABULARY)
+    texts = [chr(97 + i) * 600_000 + " " + prose(i, 50) for i in range(3)]  # runs without a cut: a chunk each
+    for text in texts:
+        assert coder.encode(text).tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids
+    held = [len(k) + len(v) for s in (coder.chunks, coder.words) for d in (s.young, s.old) for k, v in d.items()]
+    assert sum(held) < 1_000_000
+    few = bpe.ByteStore(64 * 1000)
+    for i in range(1000):
+        few.put(b"%03d" % i, b"x" * 500)
+        assert len(few.young) + len(few.old) <= 2 * 64 * 1000 // 500
+    assert few.get(b"999") == b"x" * 500
+
+
+def test_bpe_store_goes_when_another_operator_works(spark, docs):
+    from storefront.llm import store
+
+    coder = bpe._encoder(VOCABULARY)
+    assert bpe._encoder(VOCABULARY) is coder
+    list(ngram_join._slices(iter([])))
+    assert not store._held
+
+
+def test_bpe_passes_other_columns_through(spark):
+    rows = [(2**62 + 1, "a b", None, [1, 2]), (None, None, 2**60 + 1, None), (3, "", 7, [])]
+    table = spark.createDataFrame(rows, "doc_id long, text string, n long, more array<int>")
+    got = bpe.encode(table, VOCABULARY, decoded=True).collect()
+    assert sorted([(r.doc_id, r.n, r.more) for r in got], key=str) == sorted([(r[0], r[2], r[3]) for r in rows], key=str)
+    assert sorted(len(r.ids) for r in got) == [0, 0, 2]
+    assert sorted(r.decoded for r in got)[:2] == ["", ""]
+
+
 def test_language_id_learns_from_other_documents(docs):
     texts = {"en": "the cat and the dog were with them on that thing", "es": "los perros y las casas de una ciudad que no son"}
     rows = [(k, t) for k, t in enumerate([texts["en"]] * 20)]
