@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from storefront.session import land, land_observed, remove_scratch
 from storefront.sources.tables import load
 
-__all__ = ["SPACE", "SPACES", "Scratch", "bind", "bit_array", "bucket", "documents", "has_bit", "land", "load", "maybe_in", "row_key", "set_apart", "ship", "shuffle_width", "words"]
+__all__ = ["SPACE", "SPACES", "Scratch", "bind", "bit_array", "bucket", "documents", "fitted", "has_bit", "land", "load", "maybe_in", "row_key", "set_apart", "ship", "shuffle_width", "words"]
 
 # White space between words, as a regular expression and as characters.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -51,6 +51,19 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+ROWS_PER_TASK = 50_000
+
+
+def fitted(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` in as few partitions as ``rows`` short rows ask for, and in those it has if that is more.
+
+    For small tables that go through many rounds: every round writes a file, its checksum and
+    a task's records for each partition, which is more than is in them.
+    """
+    width = max(1, -(-rows // ROWS_PER_TASK))
+    return df.coalesce(width) if width < shuffle_width(df.sparkSession) else df
+
+
 def set_apart(docs: DataFrame, read: set[str], operate: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """What ``operate`` makes of ``docs``, whose columns other than ``read`` go under names of their own meanwhile.
 

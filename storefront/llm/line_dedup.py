@@ -26,18 +26,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from storefront.llm.common import land, row_key, set_apart, shuffle_width, words
+from storefront.llm.common import Scratch, land, row_key, set_apart, shuffle_width, words
 
 MIN_WORDS = 50
 DOC = ("_doc", "_text")
 
 
-def _ranked(groups: DataFrame, keys: list[str]) -> DataFrame:
+def _ranked(groups: DataFrame, keys: list[str], held: Scratch) -> DataFrame:
     """``groups`` (distinct keys with ``_n`` members) with ``_rank``: members with smaller keys."""
     spark = groups.sparkSession
-    groups = land(groups, "line-groups")
+    groups = held.land(groups, "line-groups")
     parts = groups.repartitionByRange(shuffle_width(spark), *keys).withColumn("_part", F.spark_partition_id())
-    parts = land(parts, "line-order")
+    parts = held.land(parts, "line-order")
     # one row per partition: as many as the shuffle width, whatever the input
     sums = parts.groupBy("_part").agg(F.sum("_n").alias("_sum"))
     start = F.coalesce(F.sum("_sum").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -48,7 +48,7 @@ def _ranked(groups: DataFrame, keys: list[str]) -> DataFrame:
     return joined.select(*keys, (F.col("_start") + F.col("_before")).alias("_rank"))
 
 
-def repeated_runs(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_runs(docs: DataFrame, held: Scratch, text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """Places in runs of repeated lines: ``_doc _text _run _at _line`` (number of the line),
     ``_id`` (digest) and ``_need`` (lines of the passage that begins here, or NULL)."""
     lines = F.filter(
@@ -60,7 +60,7 @@ def repeated_runs(docs: DataFrame, text: str = "text", min_words: int = MIN_WORD
     )
     texts = docs.where(F.col(text).isNotNull()).select(F.col("doc_id").alias("_doc"), row_key(text).alias("_text"), lines.alias("_lines"))
     texts = texts.groupBy(*DOC).agg(F.first("_lines").alias("_lines"))
-    placed = land(texts.select(*DOC, F.posexplode("_lines").alias("_at", "_l")).select(
+    placed = held.land(texts.select(*DOC, F.posexplode("_lines").alias("_at", "_l")).select(
         *DOC, "_at", F.col("_l.line").alias("_line"), F.col("_l.w").alias("_w"), F.col("_l.id").alias("_id")
     ), "lines")
     again = placed.groupBy("_id").agg(F.count("*").alias("_n")).where("_n > 1").select("_id")
@@ -77,9 +77,12 @@ def repeated_runs(docs: DataFrame, text: str = "text", min_words: int = MIN_WORD
 
 def later_copies(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """(_doc, _text, _gone): which lines with a word to delete, a row per document that loses any."""
-    runs = land(repeated_runs(docs, text, min_words), "line-runs")
-    ranks = _ranked(runs.groupBy("_id").agg(F.count("*").alias("_n")), ["_id"])
-    level = land(runs.join(ranks, "_id").drop("_id"), "suffixes")
+    held, levels, placed = Scratch(), Scratch(), Scratch()
+    runs = held.land(repeated_runs(docs, placed, text, min_words), "line-runs")
+    placed.clear()
+    ranks = _ranked(runs.groupBy("_id").agg(F.count("*").alias("_n")), ["_id"], held)
+    level = levels.land(runs.join(ranks, "_id").drop("_id"), "suffixes")
+    held.clear()
     deepest = level.agg(F.max("_need")).first()[0] or 0
     run = Window.partitionBy(*DOC, "_run").orderBy("_at")
     members, step = [], 1
@@ -90,13 +93,15 @@ def later_copies(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS
         last = F.element_at("_ends", F.col("_need") - step + 1)
         members.append(passages.select(*DOC, "_at", "_need", F.col("_rank").alias("_left"), last.alias("_right")))
         if 2 * step <= deepest:
-            level = _doubled(level, step)
+            level = _doubled(level, step, levels)
         step *= 2
     if not members:
         return level.where("false").groupBy(*DOC).agg(F.collect_list("_at").alias("_gone"))
     found = members[0].withColumn("_level", F.lit(0))
     for k, more in enumerate(members[1:], 1):
         found = found.unionAll(more.withColumn("_level", F.lit(k)))
+    found = land(found, "passages")
+    levels.clear()
     interval = ["_level", "_left", "_right"]
     place = F.struct(*DOC, "_at")
     firsts = found.groupBy(*interval).agg(F.min(place).alias("_first"), F.count("*").alias("_copies")).where("_copies > 1")
@@ -105,13 +110,16 @@ def later_copies(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS
     return later.groupBy(*DOC).agg(F.array_distinct(F.flatten(F.collect_list(covered))).alias("_gone"))
 
 
-def _doubled(level: DataFrame, step: int) -> DataFrame:
+def _doubled(level: DataFrame, step: int, levels: Scratch) -> DataFrame:
     """The suffixes with their ranks by twice as many lines; past a run's end stands -1."""
+    held = Scratch()
     run = Window.partitionBy(*DOC, "_run").orderBy("_at")
     after = F.coalesce(F.lead("_left", step).over(run), F.lit(-1).cast("long"))
-    pairs = land(level.withColumnRenamed("_rank", "_left").withColumn("_right", after), "suffix-pairs")
-    order = _ranked(pairs.groupBy("_left", "_right").agg(F.count("*").alias("_n")), ["_left", "_right"])
-    return land(pairs.join(order, ["_left", "_right"]).drop("_left", "_right"), "suffixes")
+    pairs = held.land(level.withColumnRenamed("_rank", "_left").withColumn("_right", after), "suffix-pairs")
+    order = _ranked(pairs.groupBy("_left", "_right").agg(F.count("*").alias("_n")), ["_left", "_right"], held)
+    doubled = levels.land(pairs.join(order, ["_left", "_right"]).drop("_left", "_right"), "suffixes")
+    held.clear()
+    return doubled
 
 
 def line_dedup(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:

@@ -219,7 +219,7 @@ def _whole_sets(docs: DataFrame, text: str, listing: DataFrame, nodes: DataFrame
     land = held.land
     nodes = land(nodes, label)
     named = listing.where(maybe_in(nodes, F.col("node"))).join(nodes, "node", "left_semi")
-    named = land(named.groupBy("node").agg(F.min("key").alias("_key")).select("_key").distinct(), label)
+    named = land(named.groupBy("node").agg(F.min("key").alias("_key")).select("_key"), label)
     texts = docs.select("doc_id", text, row_key(text).alias("_key"))
     picked = texts.where(maybe_in(named, F.col("_key"))).join(named, "_key", "left_semi")
     found = sets(picked, text, whole=True).join(nodes, "node", "left_semi")
@@ -246,10 +246,10 @@ def _lacking(marked: DataFrame) -> DataFrame:
     return counted.where(_listed("n") - F.col("_f") < _prefix("n")).select("node")
 
 
-def index(docs: DataFrame, listing: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
+def index(docs: DataFrame, listing: DataFrame, text: str = "text", kept: Scratch | None = None) -> tuple[DataFrame, DataFrame]:
     """(key, node, n), where sets that have the similarity share a key, and (node, shared), the
-    listed tokens of each set that other sets list too."""
-    held = Scratch()
+    listed tokens of each set that other sets list too; both go with ``kept``, if that is given."""
+    held, kept = Scratch(), kept or Scratch()
     tokens = listing.select("node", "n", F.explode("tokens").alias("token"))
     stats = tokens.groupBy("token").agg(F.count("*").alias("_c"), F.min("node").alias("_lo"), F.max("node").alias("_hi"))
     shared = held.land(stats.where("_lo <> _hi").select("token", (F.col("_c") > FREQUENT).alias("frequent")), "shared-tokens")
@@ -281,7 +281,7 @@ def index(docs: DataFrame, listing: DataFrame, text: str = "text") -> tuple[Data
     entries = held.land(singles.unionAll(others).unionAll(extended).distinct(), "entries")
     live = entries.groupBy("key").agg(F.count("*").alias("_c")).where("_c > 1").select("key")
     lists = hits.groupBy("node").agg(F.collect_list("token").alias("shared"))
-    landed = land(entries.join(live, "key", "left_semi"), "entries"), land(lists, "listed-tokens")
+    landed = kept.land(entries.join(live, "key", "left_semi"), "entries"), kept.land(lists, "listed-tokens")
     held.clear()
     return landed
 
@@ -289,11 +289,12 @@ def index(docs: DataFrame, listing: DataFrame, text: str = "text") -> tuple[Data
 def links(docs: DataFrame, listing: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(a, b) that connect all nodes with the similarity, and (node, component) of those they connect;
     see the module for which pairs."""
-    entries, lists = index(docs, listing, text)
+    kept = Scratch()
+    entries, lists = index(docs, listing, text, kept)
 
     def tested(pairs, tried, turn, whole=None):
         held = Scratch()
-        pairs = _new_pairs(pairs, tried, turn)
+        pairs = kept.land(_new_pairs(pairs, tried), f"pairs-{turn}")
         near = held.land(_near(pairs, lists), f"near-{turn}")
         if whole is None:
             whole = _whole_sets(docs, text, listing, near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "sets", held)
@@ -316,7 +317,7 @@ def links(docs: DataFrame, listing: DataFrame, text: str = "text") -> tuple[Data
         split = of.groupBy("key").agg(
             F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.count("*").alias("members")
         ).where("_lo <> _hi")
-        of = land(of.join(split.select("key", "members"), "key"), f"entries-{turn}")
+        of = kept.land(of.join(split.select("key", "members"), "key"), f"entries-{turn}")
 
     held = Scratch()
     heavy = held.land(_heavy(of), "heavy-keys")
@@ -336,6 +337,7 @@ def links(docs: DataFrame, listing: DataFrame, text: str = "text") -> tuple[Data
         _, new = tested(_crowd_pairs(_crowd_index(placed(whole, joined), held, homes=True)), tried.unionAll(pairs), HUB_ROUNDS + 1, whole)
         found, joined = _with(found, joined, new)
     held.clear()
+    kept.clear()
     return found, joined
 
 
@@ -472,7 +474,7 @@ def _crowd_entries(useful: DataFrame) -> DataFrame:
     return useful.mapInPandas(run, schema)
 
 
-def _new_pairs(pairs: DataFrame, tried: DataFrame | None, turn: int) -> DataFrame:
+def _new_pairs(pairs: DataFrame, tried: DataFrame | None) -> DataFrame:
     """(a, b, na, nb): pairs of unlike components, of sizes that fit, that were not compared before."""
     pairs = pairs.where(_unlike())
     first = F.col("node") > F.col("_other")
@@ -482,7 +484,7 @@ def _new_pairs(pairs: DataFrame, tried: DataFrame | None, turn: int) -> DataFram
     ).distinct()
     if tried is not None:
         pairs = pairs.join(tried, ["a", "b"], "left_anti")
-    return land(pairs, f"pairs-{turn}")
+    return pairs
 
 
 def _near(pairs: DataFrame, lists: DataFrame) -> DataFrame:

@@ -7,8 +7,11 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
+from storefront import session
 from storefront.llm import (
     bpe,
+    common,
+    components,
     decontamination,
     language_id,
     license_scan,
@@ -455,3 +458,49 @@ def test_near_duplicates_of_missing_and_repeated_ids(docs):
     assert sorted(got.values()) == [1, 1, 1, 1, 5] and len(got) == 5  # the text without an id links both ends
     kept = {(r.doc_id, r.text) for r in ngram_join.apply_near_duplicates(table).collect()}
     assert kept == {(1, first), (None, bridge), (5, alone)}
+
+
+def _labels(folder):
+    """The landed tables below ``folder``, without what tells runs apart."""
+    return {p.name.rpartition("-")[0] for p in folder.iterdir() if p.is_dir()}
+
+
+def test_what_no_job_reads_any_more_is_deleted(docs, tmp_path, monkeypatch):
+    monkeypatch.setattr(ngram_join, "FREQUENT", 8)
+    passage = "\n".join(prose(600 + k, 12) for k in range(6))
+    rows = [(i, f"{prose(i, 70)}\n{passage}") for i in range(6)] + [(10 + i, prose(50, 40 + i)) for i in range(40)]
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(tmp_path / "lines"))
+    gone = line_dedup.later_copies(docs(rows))
+    assert _labels(tmp_path / "lines") == {"passages"}
+    assert {(r._doc, len(r._gone)) for r in gone.collect()} == {(i, 6) for i in range(1, 6)}
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(tmp_path / "join"))
+    found, joined = ngram_join.links(docs(rows), ngram_join.sets(docs(rows)))
+    left = _labels(tmp_path / "join")
+    assert "components" in left and all(x == "components" or x.startswith("links-") for x in left)
+    assert found.count() and joined.count()
+
+
+def test_components_of_few_links_take_few_partitions(spark, monkeypatch):
+    draw = random.Random(5)
+    pairs = [(i, i + 1) for i in range(100, 130)] + [(7, i) for i in range(200, 260)]  # a chain and a star
+    pairs += [(draw.randrange(1000, 1100), draw.randrange(1000, 1100)) for _ in range(80)] + [(3, 3)]
+    name = {x: x for p in pairs if p[0] != p[1] for x in p}
+    for _ in name:
+        for a, b in pairs:
+            if a != b:
+                name[a] = name[b] = min(name[a], name[b])
+    links = spark.createDataFrame(pairs, "a long, b long")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        few = components.components(links)
+        assert len(few.inputFiles()) == 1
+        monkeypatch.setattr(common, "ROWS_PER_TASK", 10)
+        many = components.components(links)
+        assert len(many.inputFiles()) > 8
+        for found in (few, many):
+            assert sorted((r.node, r.component) for r in found.collect()) == sorted(name.items())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
